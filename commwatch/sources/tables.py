@@ -27,12 +27,10 @@ def read_lexicon(spark, path, fmt="csv", **options):
     return spark.read.schema(LEXICON).format(fmt).options(**options).load(path)
 
 
-def stream_table(spark, folder, name, schema, **options):
-    """The Parquet files called ``name`` in a folder, as a stream."""
-    return (
-        spark.readStream.format("parquet")
-        .schema(schema)
-        .option("pathGlobFilter", name)
-        .options(**options)
-        .load(folder)
-    )
+def stream_table(spark, path, schema, **options):
+    """A Parquet table as a stream, whether ``path`` is one file or a folder of files.
+
+    The streaming source refuses a bare file name but takes a pattern that matches just it.
+    """
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(schema).options(**options).parquet(pattern)
