@@ -18,8 +18,8 @@ def parse_amount(text):
 
     The pattern comes first because a cast alone would also accept type suffixes such as ``1d``.
     """
-    return F.when(text.rlike(_NAN), F.lit(float("nan"))).when(
-        text.rlike(_NUMBER) | text.rlike(_INFINITY), text.try_cast("double")
+    return F.when(text.rlike(_NUMBER) | text.rlike(_INFINITY), text.try_cast("double")).when(
+        text.rlike(_NAN), F.lit(float("nan"))
     )
 
 

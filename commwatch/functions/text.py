@@ -7,7 +7,7 @@ from commwatch.functions.stopwords import ENGLISH
 
 # / \ ~ # _ belong to a token so that the shape test can drop the whole token
 TOKEN_PATTERN = r"[\p{L}\p{N}/\\~#_]+(?:[-'.][\p{L}\p{N}/\\~#_]+)*"
-UNWANTED = r"[/\\~#_]|--"
+UNWANTED = ("/", "\\", "--", "~", "#", "_")
 MAX_LENGTH = 30
 
 COUNTS_TYPE = "array<struct<token:string,n:bigint>>"
@@ -21,8 +21,13 @@ def tokens(text, stop_words=ENGLISH):
     """
     def wanted(word):
         size = F.length(word)
-        keep = (size > 1) & (size <= MAX_LENGTH) & ~word.rlike(UNWANTED)
-        return keep & ~word.isin(*stop_words) if stop_words else keep
+        keep = (size > 1) & (size <= MAX_LENGTH)
+        if stop_words:
+            keep = keep & ~word.isin(*stop_words)
+        # plain searches, which cost less than a pattern on every word
+        for mark in UNWANTED:
+            keep = keep & ~word.contains(mark)
+        return keep
 
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN_PATTERN), F.lit(0))
     return F.filter(found, wanted)
@@ -36,46 +41,51 @@ def token_counts(words, reset=True):
     ``n`` counts every occurrence.
 
     The tokens of a text are sorted by token and place, which makes equal tokens neighbours. Each
-    run then counts as the distance from its starting to its last element, found by comparing
-    neighbours: O(n log n) in the length of the text and local to the row.
+    run then counts as the distance from its starting to its last index, found by comparing
+    neighbours: O(n log n) in the length of the text and local to the row. The passes after the
+    sort handle indexes only, as building a struct per token would cost more than the rest.
     """
     placed = F.transform(
         words,
-        lambda w, place: F.struct(
-            F.lower(w).alias("token"), place.alias("place"), (w != F.lower(w)).alias("capital")
+        lambda word, place: F.struct(
+            F.lower(word).alias("token"), place.alias("place"), word.alias("written")
         ),
     )
 
-    def differs(run, index, item):
-        return ~F.coalesce(F.get(run, index)["token"] == item["token"], F.lit(False))
+    def runs(ordered, token):
+        def differs(i, j):
+            # null beyond either end of the array differs from every token
+            return ~F.get(token, i).eqNullSafe(F.get(token, j))
 
-    def count(ordered):
-        ranked = F.transform(
-            ordered,
-            lambda x, rank: F.struct(
-                x["token"].alias("token"), rank.alias("rank"), x["capital"].alias("capital")
-            ),
+        def starts_run(i):
+            return differs(i - 1, i)
+
+        def may_start(i):
+            capital = F.get(ordered, i)["written"] != F.get(token, i)
+            return capital | starts_run(i)
+
+        def last_of_run(candidates):
+            return F.filter(candidates, lambda i, k: differs(i, F.get(candidates, k + 1)))
+
+        places = F.transform(token, lambda _, i: i)
+        last = F.filter(places, lambda i: differs(i, i + 1))
+        first = (
+            bind(F.filter(places, may_start), last_of_run)
+            if reset
+            else F.filter(places, starts_run)
         )
-        last = F.filter(ranked, lambda x, i: differs(ordered, i + 1, x))
-        if reset:
-            candidates = F.filter(
-                ranked, lambda x, i: x["capital"] | differs(ordered, i - 1, x)
-            )
-            first = bind(
-                candidates, lambda c: F.filter(c, lambda x, i: differs(c, i + 1, x))
-            )
-        else:
-            first = F.filter(ranked, lambda x, i: differs(ordered, i - 1, x))
         return F.zip_with(
             last,
             first,
             lambda end, start: F.struct(
-                end["token"].alias("token"),
-                (end["rank"] - start["rank"] + 1).cast("bigint").alias("n"),
+                F.get(token, end).alias("token"), (end - start + 1).cast("bigint").alias("n")
             ),
         )
 
-    return bind(F.sort_array(placed), count)
+    return bind(
+        F.sort_array(placed),
+        lambda ordered: bind(ordered["token"], lambda token: runs(ordered, token)),
+    )
 
 
 def total_tokens(counts):

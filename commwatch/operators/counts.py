@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from commwatch.functions.parsing import fields, parse_time
+from commwatch.operators.validity import keep
 
 BATCH = "1 second"
 
@@ -12,15 +13,12 @@ def timed_messages(lines):
 
     ``event_time`` is a timestamp, as watermarks require.
     """
-    return (
-        lines.select(fields(F.col("value")).alias("parts"))
-        .where(F.size("parts") >= 4)
-        .select(
-            parse_time(F.get("parts", F.lit(2))).cast("timestamp").alias("event_time"),
-            F.get("parts", F.lit(3)).alias("message"),
-        )
-        .where(F.col("event_time").isNotNull())
+    named = lines.select(fields(F.col("value")).alias("parts")).select(
+        parse_time(F.get("parts", F.lit(2))).cast("timestamp").alias("event_time"),
+        F.get("parts", F.lit(3)).alias("message"),
     )
+    usable = F.col("event_time").isNotNull() & F.col("message").isNotNull()
+    return keep(named, usable)
 
 
 def message_counts(messages, window=BATCH):

@@ -15,10 +15,12 @@ def edges(lines):
     Recipients are ``~``-separated; repeated ones and the sender itself are kept. The sender field
     is one string. Lines with fewer than six fields give no edge.
     """
-    parts = lines.select(fields(F.col("value")).alias("parts")).where(
-        F.size("parts") >= MIN_FIELDS
+    parts = lines.select(fields(F.col("value")).alias("parts"))
+    # the guard is part of the exploded expression: as a filter it would split the line twice
+    recipients = F.when(
+        F.size("parts") >= MIN_FIELDS,
+        F.filter(F.split(F.get("parts", F.lit(4)), VALUE_SEPARATOR), is_recipient),
     )
-    recipients = F.filter(F.split(F.get("parts", F.lit(4)), VALUE_SEPARATOR), is_recipient)
     return parts.select(
         F.get("parts", F.lit(3)).alias("fr"),
         F.explode(recipients).alias("to"),

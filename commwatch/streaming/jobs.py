@@ -46,11 +46,8 @@ def _write_each(outputs):
 
 def start_transactions(lines, sink, rejects, checkpoint, trigger=None, **flag_options):
     """Flagged transactions to ``sink``, malformed lines to ``rejects``."""
-    def flagged(batch):
-        return flag_transactions(parse_transactions(batch), **flag_options)
-
-    outputs = [(flagged, sink), (lambda batch: rejected(parse_transactions(batch)), rejects)]
-    return _start(lines, _write_each(outputs), checkpoint, trigger)
+    outputs = [(lambda parsed: flag_transactions(parsed, **flag_options), sink), (rejected, rejects)]
+    return _start(parse_transactions(lines), _write_each(outputs), checkpoint, trigger)
 
 
 def start_emails(
