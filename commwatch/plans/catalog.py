@@ -23,6 +23,7 @@ from commwatch.plans.inputs import table, table_stream
 from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, TRANS_STREAM
 from commwatch.session import shared_dir
 from commwatch.sources.lines import stream_lines
+from commwatch.sources.spreading import spread
 from commwatch.streaming import jobs
 from commwatch.streaming.sinks import FolderSink, latest
 
@@ -64,7 +65,7 @@ def wire_trans(spark, sf_dir):
 
 @query("wire_email")
 def wire_email(spark, sf_dir):
-    lines = inputs.email_lines(table(spark, sf_dir, "documents"))
+    lines = _email_lines(spark, sf_dir)
     return lines.select(F.md5("value").alias("line_md5"))
 
 
@@ -133,23 +134,27 @@ def horizon_orders(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def _counted(spark, sf_dir, reset):
-    words = tokens(F.col("text"))
-    return _documents(spark, sf_dir).select("doc_id", token_counts(words, reset).alias("counts"))
+def _email_lines(spark, sf_dir, encode=inputs.email_lines):
+    return encode(spread(table(spark, sf_dir, "documents").drop("n_chars")))
 
 
-def _count_rows(counted):
-    return counted.select("doc_id", F.explode("counts").alias("c")).select(
-        "doc_id", "c.token", "c.n"
+def _count_rows(spark, sf_dir, reset):
+    # exploding the expression itself: for a column of an earlier projection Catalyst would infer
+    # a filter, push it below that projection and count a second time
+    counts = token_counts(tokens(F.col("text")), reset)
+    return (
+        _documents(spark, sf_dir)
+        .select("doc_id", F.explode(counts).alias("c"))
+        .select("doc_id", "c.token", "c.n")
     )
 
 
 @query("parse_email")
 def parse_email(spark, sf_dir):
-    parsed = valid(parse_emails(inputs.email_lines(table(spark, sf_dir, "documents"))))
+    parsed = valid(parse_emails(_email_lines(spark, sf_dir)))
     return parsed.select(
         "ip",
         "port",
@@ -183,19 +188,18 @@ def doc_token_total(spark, sf_dir):
 
 @query("term_freq")
 def term_freq(spark, sf_dir):
-    return _count_rows(_counted(spark, sf_dir, reset=False))
+    return _count_rows(spark, sf_dir, reset=False)
 
 
 @query("term_freq_reset")
 def term_freq_reset(spark, sf_dir):
-    return _count_rows(_counted(spark, sf_dir, reset=True))
+    return _count_rows(spark, sf_dir, reset=True)
 
 
 @query("freq_json")
 def freq_json(spark, sf_dir):
-    return _counted(spark, sf_dir, reset=True).select(
-        "doc_id", counts_json(F.col("counts")).alias("counts_json")
-    )
+    counts = token_counts(tokens(F.col("text")))
+    return _documents(spark, sf_dir).select("doc_id", counts_json(counts).alias("counts_json"))
 
 
 # --- lexicon scores
@@ -209,8 +213,12 @@ def _scored(spark, sf_dir, lexicon):
 
 
 def _hit_rows(scored):
-    """One row per document and class; the hits are in class id order from 0."""
-    return scored.select("doc_id", "total", F.posexplode("hits").alias("class_id", "hits"))
+    """One row per document and class; the hits are in class id order from 0.
+
+    No document lacks hits, so the outer form changes nothing but keeps Catalyst from inferring a
+    filter that would score a second time.
+    """
+    return scored.select("doc_id", "total", F.posexplode_outer("hits").alias("class_id", "hits"))
 
 
 @query("topic_hits")
@@ -291,7 +299,7 @@ def fraud_score(spark, sf_dir):
 @query("email_scores")
 def email_scores(spark, sf_dir):
     return score_emails(
-        parse_emails(inputs.scored_email_lines(table(spark, sf_dir, "documents")))
+        parse_emails(_email_lines(spark, sf_dir, inputs.scored_email_lines))
     )
 
 

@@ -12,6 +12,7 @@ from commwatch.operators.edges import edges
 from commwatch.operators.emails import parse_emails, score_emails
 from commwatch.operators.transactions import flag_transactions, parse_transactions
 from commwatch.operators.validity import rejected
+from commwatch.sources.spreading import spread
 
 INTERVAL = {"processingTime": "1 second"}
 ONCE = {"availableNow": True}
@@ -33,7 +34,7 @@ def _write_each(outputs):
     ``outputs`` are pairs of a transform and a sink; a batch without rows is skipped.
     """
     def write(batch, batch_id):
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = spread(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
                 for transform, sink in outputs:
