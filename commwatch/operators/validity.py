@@ -23,4 +23,4 @@ def valid(parsed):
 
 def rejected(parsed):
     """Rejected lines as they came, each with its reason."""
-    return parsed.where(F.col("reason").isNotNull()).select("value", "reason")
+    return keep(parsed.select("value", "reason"), F.col("reason").isNotNull())
