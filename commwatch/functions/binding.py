@@ -1,4 +1,4 @@
-"""Evaluate an array expression once and use it many times inside one column expression."""
+"""Helpers to compose column expressions."""
 
 from pyspark.sql import functions as F
 
@@ -11,3 +11,12 @@ def bind(value, body):
     of a one-element ``transform`` hands the computed value to ``body`` instead.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def text_list(values):
+    """SQL text literals, comma-separated.
+
+    Long word lists go to the parser as text: a Column per word would cost a gateway call each.
+    """
+    escaped = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return ", ".join(f"'{v}'" for v in escaped)

@@ -2,20 +2,16 @@
 
 from pyspark.sql import functions as F
 
-UNKNOWN_CLASS = -1
-
+from commwatch.functions.binding import text_list
 
-def _quoted(words):
-    escaped = (w.replace("\\", "\\\\").replace("'", "\\'") for w in words)
-    return ", ".join(f"'{w}'" for w in escaped)
+UNKNOWN_CLASS = -1
 
 
 def class_hits(counts, lexicon):
     """Hits per class, in ascending class id order, from the token-count column named ``counts``.
 
     Catalyst turns the literal lists into hash sets, so a token costs one look-up and only the
-    few lexicon words are then tried against each class. The text goes to the parser in one piece
-    because a Column per word would cost one gateway call each.
+    few lexicon words are then tried against each class.
     """
     every = sorted({w for c in lexicon.class_ids for w in lexicon.words[c]})
     if not every:
@@ -25,11 +21,11 @@ def class_hits(counts, lexicon):
         words = lexicon.words[class_id]
         if words:
             sums.append(
-                f"aggregate(hits, 0L, (s, h) -> s + IF(h.token IN ({_quoted(words)}), h.n, 0L))"
+                f"aggregate(hits, 0L, (s, h) -> s + IF(h.token IN ({text_list(words)}), h.n, 0L))"
             )
         else:
             sums.append("0L")
-    known = f"filter({counts}, c -> c.token IN ({_quoted(every)}))"
+    known = f"filter({counts}, c -> c.token IN ({text_list(every)}))"
     return F.expr(f"get(transform(array({known}), hits -> array({', '.join(sums)})), 0)")
 
 

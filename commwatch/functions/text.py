@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from commwatch.functions.binding import bind
+from commwatch.functions.binding import bind, text_list
 from commwatch.functions.stopwords import ENGLISH
 
 # / \ ~ # _ belong to a token so that the shape test can drop the whole token
@@ -10,27 +10,20 @@ TOKEN_PATTERN = r"[\p{L}\p{N}/\\~#_]+(?:[-'.][\p{L}\p{N}/\\~#_]+)*"
 UNWANTED = ("/", "\\", "--", "~", "#", "_")
 MAX_LENGTH = 30
 
-COUNTS_TYPE = "array<struct<token:string,n:bigint>>"
-
 
 def tokens(text, stop_words=ENGLISH):
-    """Tokens of a text in order, as written.
+    """Tokens, in order and as written, of the text in a column, given by its name.
 
     Stop words are compared before lower-casing: ``the`` goes and ``The`` stays. Null text has
     no tokens.
     """
-    def wanted(word):
-        size = F.length(word)
-        keep = (size > 1) & (size <= MAX_LENGTH)
-        if stop_words:
-            keep = keep & ~word.isin(*stop_words)
-        # plain searches, which cost less than a pattern on every word
-        for mark in UNWANTED:
-            keep = keep & ~word.contains(mark)
-        return keep
-
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN_PATTERN), F.lit(0))
-    return F.filter(found, wanted)
+    tests = [f"length(w) BETWEEN 2 AND {MAX_LENGTH}"]
+    if stop_words:
+        tests.append(f"w NOT IN ({text_list(stop_words)})")
+    # plain searches, which cost less than a pattern on every word
+    tests += [f"NOT contains(w, {text_list([mark])})" for mark in UNWANTED]
+    found = f"regexp_extract_all(coalesce(`{text}`, ''), {text_list([TOKEN_PATTERN])}, 0)"
+    return F.expr(f"filter({found}, w -> {' AND '.join(tests)})")
 
 
 def token_counts(words, reset=True):

@@ -3,26 +3,26 @@
 from pyspark.sql import functions as F
 
 from commwatch.functions.flags import is_recipient
-from commwatch.functions.parsing import fields
 from commwatch.functions.wire import VALUE_SEPARATOR
+from commwatch.operators.emails import parse_emails
 
 MIN_FIELDS = 6
 
 
-def edges(lines):
-    """One ``(fr, to, dt)`` row per valid recipient of each email line.
+def edges_of(parsed):
+    """One ``(fr, to, dt)`` row per valid recipient of each parsed email.
 
     Recipients are ``~``-separated; repeated ones and the sender itself are kept. The sender field
-    is one string. Lines with fewer than six fields give no edge.
+    is one string. Lines with fewer than six fields give no edge, while those with six do although
+    they are too short to score.
     """
-    parts = lines.select(fields(F.col("value")).alias("parts"))
     # the guard is part of the exploded expression: as a filter it would split the line twice
     recipients = F.when(
-        F.size("parts") >= MIN_FIELDS,
-        F.filter(F.split(F.get("parts", F.lit(4)), VALUE_SEPARATOR), is_recipient),
-    )
-    return parts.select(
-        F.get("parts", F.lit(3)).alias("fr"),
-        F.explode(recipients).alias("to"),
-        F.get("parts", F.lit(2)).alias("dt"),
+        F.col("n_fields") >= MIN_FIELDS,
+        F.filter(F.split("to", VALUE_SEPARATOR), is_recipient),
     )
+    return parsed.select("fr", F.explode(recipients).alias("to"), F.col("date_time").alias("dt"))
+
+
+def edges(lines):
+    return edges_of(parse_emails(lines))

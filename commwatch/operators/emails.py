@@ -29,13 +29,14 @@ def encode_emails(corpus, ip, port, event_time="event_time"):
 
 
 def parse_emails(lines):
-    """The seven named fields of each line and the ``reason`` to reject it, if any.
+    """The seven named fields of each line, their number and the ``reason`` to reject it, if any.
 
     ``to`` stays one string and fields past the seventh are ignored.
     """
     return lines.withColumn("parts", fields(F.col("value"))).select(
         "value",
         *[F.get("parts", F.lit(i)).alias(name) for i, name in enumerate(FIELDS)],
+        F.size("parts").alias("n_fields"),
         F.when(F.size("parts") < len(FIELDS), F.lit(TOO_FEW_FIELDS)).alias("reason"),
     )
 
@@ -49,7 +50,7 @@ def score_text(df, text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
     """
     counts = f"{prefix}counts"
     counted = df.withColumn(
-        counts, token_counts(tokens(F.col(text), stop_words), reset)
+        counts, token_counts(tokens(text, stop_words), reset)
     )
     return counted.withColumns(
         {
@@ -62,16 +63,14 @@ def score_text(df, text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
     )
 
 
-def score_emails(parsed, lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
-    """Rows of ``email_stream`` for the valid records.
+def add_scores(parsed, lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
+    """Parsed emails with their classes and fraud score.
 
     ``subject`` and ``content`` become the JSON of their token counts. A field without tokens has
     classes -1 and fraud score 0.0. The fraud score covers the content only.
     """
     three = (lexicons.sentiment, lexicons.power, lexicons.topic)
-    scored = score_text(
-        valid(parsed), "subject", three, stop_words, reset, prefix="subject_"
-    )
+    scored = score_text(parsed, "subject", three, stop_words, reset, prefix="subject_")
     scored = score_text(
         scored, "content", three + (lexicons.fraud,), stop_words, reset, prefix="content_"
     )
@@ -82,15 +81,17 @@ def score_emails(parsed, lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
         ).alias(f"{field}_{lexicon.name}")
 
     return scored.select(
-        "ip",
-        "port",
-        "date_time",
-        "fr",
-        "to",
+        *[c for c in parsed.columns if c not in ("subject", "content")],
         counts_json(F.col("subject_counts")).alias("subject"),
         counts_json(F.col("content_counts")).alias("content"),
         *[best(field, lexicon) for lexicon in three for field in ("subject", "content")],
         scoring.share(F.get("content_fraud_hits", F.lit(0)), F.col("content_total")).alias(
             "fraud_score"
         ),
-    ).select(*EMAIL_STREAM.fieldNames())
+    )
+
+
+def score_emails(parsed, lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
+    """Rows of ``email_stream`` for the valid records."""
+    scored = add_scores(valid(parsed), lexicons, stop_words, reset)
+    return scored.select(*EMAIL_STREAM.fieldNames())

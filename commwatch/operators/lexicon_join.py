@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from commwatch.functions.text import MAX_LENGTH
+
 BROADCAST_WORDS = 200_000
 SALTS = 64
 
@@ -24,9 +26,11 @@ def hits_by_join(df, key, lexicon, class_ids, counts="counts", broadcast=None, s
     if broadcast is None:
         broadcast = is_small(lexicon)
     # one row per word, so that the join cannot multiply tokens; the sets are bounded by the
-    # number of classes
-    words = lexicon.groupBy(F.col("word").alias("token")).agg(
-        F.collect_set("class_id").alias("classes")
+    # number of classes, and words longer than any token cannot match
+    words = (
+        lexicon.where(F.length("word") <= MAX_LENGTH)
+        .groupBy(F.col("word").alias("token"))
+        .agg(F.collect_set("class_id").alias("classes"))
     )
     rows = df.select(key, F.explode_outer(counts).alias("c")).select(key, "c.token", "c.n")
     if broadcast:

@@ -144,7 +144,7 @@ def _email_lines(spark, sf_dir, encode=inputs.email_lines):
 def _count_rows(spark, sf_dir, reset):
     # exploding the expression itself: for a column of an earlier projection Catalyst would infer
     # a filter, push it below that projection and count a second time
-    counts = token_counts(tokens(F.col("text")), reset)
+    counts = token_counts(tokens("text"), reset)
     return (
         _documents(spark, sf_dir)
         .select("doc_id", F.explode(counts).alias("c"))
@@ -170,14 +170,14 @@ def parse_email(spark, sf_dir):
 def doc_tokens(spark, sf_dir):
     return (
         _documents(spark, sf_dir)
-        .select("doc_id", F.posexplode(tokens(F.col("text"))).alias("position", "token"))
+        .select("doc_id", F.posexplode(tokens("text")).alias("position", "token"))
         .select("doc_id", F.col("position").cast("bigint").alias("position"), "token")
     )
 
 
 @query("doc_token_total")
 def doc_token_total(spark, sf_dir):
-    words = _documents(spark, sf_dir).select("doc_id", tokens(F.col("text")).alias("words"))
+    words = _documents(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
     counted = words.select(
         "doc_id",
         F.size("words").cast("bigint").alias("n_tokens"),
@@ -198,7 +198,7 @@ def term_freq_reset(spark, sf_dir):
 
 @query("freq_json")
 def freq_json(spark, sf_dir):
-    counts = token_counts(tokens(F.col("text")))
+    counts = token_counts(tokens("text"))
     return _documents(spark, sf_dir).select("doc_id", counts_json(counts).alias("counts_json"))
 
 
@@ -229,7 +229,7 @@ def topic_hits(spark, sf_dir):
 @query("topic_hits_joined")
 def topic_hits_joined(spark, sf_dir):
     """The same hits by a salted join with the lexicon as a table."""
-    words = tokens(F.col("text"))
+    words = tokens("text")
     counted = inputs.with_phrase(_documents(spark, sf_dir)).select(
         "doc_id", token_counts(words).alias("counts")
     )
@@ -241,7 +241,7 @@ def topic_hits_joined(spark, sf_dir):
 @query("table_lexicon_hits")
 def table_lexicon_hits(spark, sf_dir):
     """A lexicon that is itself a table: the benchmark vocabulary, in two classes by length."""
-    words = tokens(F.col("text"))
+    words = tokens("text")
     vocabulary = (
         table(spark, sf_dir, "benchmark")
         .select(F.explode(words).alias("token"))

@@ -5,13 +5,15 @@ input. A batch that fails stops the query, which replays it from the checkpoint
 """
 
 from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from commwatch.functions.lexicons import Lexicons
 from commwatch.operators.counts import message_counts, timed_messages
-from commwatch.operators.edges import edges
-from commwatch.operators.emails import parse_emails, score_emails
+from commwatch.operators.edges import edges_of
+from commwatch.operators.emails import add_scores, parse_emails
 from commwatch.operators.transactions import flag_transactions, parse_transactions
-from commwatch.operators.validity import rejected
+from commwatch.operators.validity import rejected, valid
+from commwatch.schemas import EMAIL_STREAM
 from commwatch.sources.spreading import spread
 
 INTERVAL = {"processingTime": "1 second"}
@@ -54,17 +56,24 @@ def start_transactions(lines, sink, rejects, checkpoint, trigger=None, **flag_op
 def start_emails(
     lines, email_sink, graph_sink, rejects, checkpoint, trigger=None, lexicons=Lexicons(), **options
 ):
-    """Scored emails, edges and malformed lines of one stream, each to its sink."""
+    """Scored emails, edges and malformed lines of one stream, each to its sink.
+
+    The stream itself is parsed and scored, so its plan is built once and a batch, once persisted,
+    only has to be projected for each output. The raw text is kept for malformed lines alone.
+    """
+    parsed = parse_emails(lines)
+    slim = parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
     outputs = [
-        (lambda batch: score_emails(parse_emails(batch), lexicons, **options), email_sink),
-        (edges, graph_sink),
-        (lambda batch: rejected(parse_emails(batch)), rejects),
+        (lambda scored: valid(scored).select(*EMAIL_STREAM.fieldNames()), email_sink),
+        (edges_of, graph_sink),
+        (rejected, rejects),
     ]
-    return _start(lines, _write_each(outputs), checkpoint, trigger)
+    return _start(add_scores(slim, lexicons, **options), _write_each(outputs), checkpoint, trigger)
 
 
 def start_edges(lines, graph_sink, checkpoint, trigger=None):
-    return _start(lines, _write_each([(edges, graph_sink)]), checkpoint, trigger)
+    outputs = [(edges_of, graph_sink)]
+    return _start(parse_emails(lines), _write_each(outputs), checkpoint, trigger)
 
 
 def start_message_counts(lines, sink, checkpoint, trigger=None, delay="10 minutes", window="1 second"):

@@ -11,7 +11,7 @@ from commwatch.functions.text import counts_json, token_counts, tokens, total_to
 
 def counts(rows, texts, reset):
     frame = rows(texts, "text").select(
-        "text", token_counts(tokens(F.col("text")), reset).alias("c")
+        "text", token_counts(tokens("text"), reset).alias("c")
     )
     return {r.text: {c.token: c.n for c in r.c} for r in frame.collect()}
 
@@ -57,7 +57,7 @@ def test_tokens_as_written(rows):
         "The trade's write-off: a--b e.g. café I x don't Don't " + "y" * 30 + " " + "z" * 31
         + " a~b p#q C\\D mail@example.com 3,000"
     )
-    frame = rows([text], "text").select(tokens(F.col("text")).alias("t"))
+    frame = rows([text], "text").select(tokens("text").alias("t"))
     assert frame.collect()[0].t == [
         "The", "trade's", "write-off", "e.g", "café", "Don't", "y" * 30, "mail",
         "example.com", "000",
@@ -72,14 +72,14 @@ def test_stop_words_are_those_of_spark(spark):
 
 def test_stop_words_are_a_parameter(rows):
     frame = rows(["the gas"], "text").select(
-        tokens(F.col("text"), ()).alias("none"), tokens(F.col("text"), ("gas",)).alias("own")
+        tokens("text", ()).alias("none"), tokens("text", ("gas",)).alias("own")
     )
     assert tuple(frame.collect()[0]) == (["the", "gas"], ["the"])
 
 
 def test_total_and_json(rows):
     frame = rows(["deal Deal deal gas", ""], "text").select(
-        token_counts(tokens(F.col("text"))).alias("c")
+        token_counts(tokens("text")).alias("c")
     )
     got = frame.select(total_tokens(F.col("c")), counts_json(F.col("c"))).collect()
     assert tuple(got[0]) == (3, '{"deal":2,"gas":1}')

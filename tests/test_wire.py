@@ -63,6 +63,7 @@ def test_email_round_trip(spark):
         "to": "b@example.com~c@example.com",
         "subject": "s 1",
         "content": "one two",
+        "n_fields": 7,
     }
 
 
