@@ -41,57 +41,57 @@ def parse_emails(lines):
     )
 
 
-def score_text(df, text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
-    """Token counts of a text column, their total, and the hits per class of each lexicon.
-
-    Adds ``<prefix>counts``, ``<prefix>total`` and ``<prefix><lexicon>_hits``. All of it is
-    computed within the row, so no row key is needed and nothing is shuffled. The steps are
-    separate projections, which keeps Catalyst from repeating one inside the next.
+def text_scorer(text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
+    """A transform that scores a text column.
+
+    It adds ``<prefix>counts``, ``<prefix>total`` and ``<prefix><lexicon>_hits``: the token counts,
+    their total, and the hits per class of each lexicon. All of it is computed within the row, so
+    no row key is needed and nothing is shuffled. The two steps are separate projections, which
+    keeps Catalyst from repeating the first inside the second. The expressions are built here,
+    once, however often the transform is applied.
     """
     counts = f"{prefix}counts"
-    counted = df.withColumn(
-        counts, token_counts(tokens(text, stop_words), reset)
-    )
-    return counted.withColumns(
-        {
-            f"{prefix}total": total_tokens(F.col(counts)),
-            **{
-                f"{prefix}{lexicon.name}_hits": scoring.class_hits(counts, lexicon)
-                for lexicon in lexicons
-            },
-        }
-    )
+    counting = token_counts(tokens(text, stop_words), reset)
+    scores = {f"{prefix}total": total_tokens(F.col(counts))}
+    for lexicon in lexicons:
+        scores[f"{prefix}{lexicon.name}_hits"] = scoring.class_hits(counts, lexicon)
+    return lambda df: df.withColumn(counts, counting).withColumns(scores)
 
 
-def add_scores(parsed, lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
-    """Parsed emails with their classes and fraud score.
+def score_text(df, text, lexicons, **options):
+    return text_scorer(text, lexicons, **options)(df)
+
+
+def email_scorer(lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
+    """A transform that gives parsed emails their classes and fraud score.
 
     ``subject`` and ``content`` become the JSON of their token counts. A field without tokens has
     classes -1 and fraud score 0.0. The fraud score covers the content only.
     """
     three = (lexicons.sentiment, lexicons.power, lexicons.topic)
-    scored = score_text(parsed, "subject", three, stop_words, reset, prefix="subject_")
-    scored = score_text(
-        scored, "content", three + (lexicons.fraud,), stop_words, reset, prefix="content_"
-    )
-
-    def best(field, lexicon):
-        return scoring.class_of(
-            F.col(f"{field}_total"), F.col(f"{field}_{lexicon.name}_hits"), lexicon.class_ids
-        ).alias(f"{field}_{lexicon.name}")
-
-    return scored.select(
-        *[c for c in parsed.columns if c not in ("subject", "content")],
+    subject = text_scorer("subject", three, stop_words, reset, "subject_")
+    content = text_scorer("content", (*three, lexicons.fraud), stop_words, reset, "content_")
+    columns = [
         counts_json(F.col("subject_counts")).alias("subject"),
         counts_json(F.col("content_counts")).alias("content"),
-        *[best(field, lexicon) for lexicon in three for field in ("subject", "content")],
         scoring.share(F.get("content_fraud_hits", F.lit(0)), F.col("content_total")).alias(
             "fraud_score"
         ),
-    )
+    ]
+    for lexicon in three:
+        for field in ("subject", "content"):
+            hits = F.col(f"{field}_{lexicon.name}_hits")
+            best = scoring.class_of(F.col(f"{field}_total"), hits, lexicon.class_ids)
+            columns.append(best.alias(f"{field}_{lexicon.name}"))
+
+    def score(parsed):
+        others = [c for c in parsed.columns if c not in ("subject", "content")]
+        return content(subject(parsed)).select(*others, *columns)
+
+    return score
 
 
-def score_emails(parsed, lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
+def score_emails(parsed, lexicons=Lexicons(), **options):
     """Rows of ``email_stream`` for the valid records."""
-    scored = add_scores(valid(parsed), lexicons, stop_words, reset)
+    scored = email_scorer(lexicons, **options)(valid(parsed))
     return scored.select(*EMAIL_STREAM.fieldNames())

@@ -308,7 +308,8 @@ def email_scores(spark, sf_dir):
 
 @query("edges")
 def email_edges(spark, sf_dir):
-    return edges(inputs.order_email_lines(table(spark, sf_dir, "lineitem")))
+    orders = table(spark, sf_dir, "lineitem").select(*inputs.ORDER_COLUMNS)
+    return edges(inputs.order_email_lines(spread(orders)))
 
 
 @query("message_counts")

@@ -12,6 +12,9 @@ IP = "127.0.0.1"
 TRANS_PORT = "1235"
 EMAIL_PORT = "1237"
 START = "2013-01-01 00:00:00"
+ORDER_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"
+)
 
 
 def table(spark, sf_dir, name):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from commwatch.functions.lexicons import Lexicons
 from commwatch.operators.counts import message_counts, timed_messages
 from commwatch.operators.edges import edges_of
-from commwatch.operators.emails import add_scores, parse_emails
+from commwatch.operators.emails import email_scorer, parse_emails
 from commwatch.operators.transactions import flag_transactions, parse_transactions
 from commwatch.operators.validity import rejected, valid
 from commwatch.schemas import EMAIL_STREAM
@@ -30,19 +30,19 @@ def _start(stream, write_batch, checkpoint, trigger, mode="append"):
     )
 
 
-def _write_each(outputs):
-    """A batch function that writes several results of one input, read once.
+def _write_each(prepare, outputs):
+    """A batch function that prepares its input once and writes several results of it.
 
     ``outputs`` are pairs of a transform and a sink; a batch without rows is skipped.
     """
     def write(batch, batch_id):
-        batch = spread(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared = prepare(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not batch.isEmpty():
+            if not prepared.isEmpty():
                 for transform, sink in outputs:
-                    sink.write(transform(batch), batch_id)
+                    sink.write(transform(prepared), batch_id)
         finally:
-            batch.unpersist()
+            prepared.unpersist()
 
     return write
 
@@ -50,7 +50,7 @@ def _write_each(outputs):
 def start_transactions(lines, sink, rejects, checkpoint, trigger=None, **flag_options):
     """Flagged transactions to ``sink``, malformed lines to ``rejects``."""
     outputs = [(lambda parsed: flag_transactions(parsed, **flag_options), sink), (rejected, rejects)]
-    return _start(parse_transactions(lines), _write_each(outputs), checkpoint, trigger)
+    return _start(lines, _write_each(parse_transactions, outputs), checkpoint, trigger)
 
 
 def start_emails(
@@ -58,22 +58,27 @@ def start_emails(
 ):
     """Scored emails, edges and malformed lines of one stream, each to its sink.
 
-    The stream itself is parsed and scored, so its plan is built once and a batch, once persisted,
-    only has to be projected for each output. The raw text is kept for malformed lines alone.
+    A batch is parsed and scored once; each output is then a projection of the persisted result.
+    The raw text is kept for malformed lines alone.
     """
-    parsed = parse_emails(lines)
-    slim = parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+    score = email_scorer(lexicons, **options)
+
+    def prepare(batch):
+        parsed = parse_emails(batch)
+        raw = F.when(F.col("reason").isNotNull(), F.col("value"))
+        return score(parsed.withColumn("value", raw))
+
     outputs = [
         (lambda scored: valid(scored).select(*EMAIL_STREAM.fieldNames()), email_sink),
         (edges_of, graph_sink),
         (rejected, rejects),
     ]
-    return _start(add_scores(slim, lexicons, **options), _write_each(outputs), checkpoint, trigger)
+    return _start(lines, _write_each(prepare, outputs), checkpoint, trigger)
 
 
 def start_edges(lines, graph_sink, checkpoint, trigger=None):
-    outputs = [(edges_of, graph_sink)]
-    return _start(parse_emails(lines), _write_each(outputs), checkpoint, trigger)
+    write = _write_each(parse_emails, [(edges_of, graph_sink)])
+    return _start(lines, write, checkpoint, trigger)
 
 
 def start_message_counts(lines, sink, checkpoint, trigger=None, delay="10 minutes", window="1 second"):
