@@ -1,8 +1,10 @@
 """The operators of this subpackage on the benchmark tables, with SQL where it can say the same."""
 
 from commwatch.llm.decontamination import benchmark_hits
+from commwatch.llm.packing import pack_documents
 from commwatch.llm.quality_rules import SQL as QUALITY_SQL
 from commwatch.llm.quality_rules import quality_report
+from commwatch.llm.records import token_records
 from commwatch.llm.sharding import shard_manifest
 
 
@@ -10,23 +12,39 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_sharding(spark, sf_dir):
     return shard_manifest(_table(spark, sf_dir, "documents"), shards=16)
 
 
+def op4_packing(spark, sf_dir):
+    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=1)
+
+
 def op5_decontamination(spark, sf_dir):
     return benchmark_hits(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
 
 
+def op7_records(spark, sf_dir):
+    return token_records(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=0)
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_report(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op7_records": op7_records,
     "op8_quality_rules": op8_quality_rules,
 }
 SQL = {"op8_quality_rules": QUALITY_SQL}

@@ -1,7 +1,13 @@
-"""Tables and folders that driver and executors share."""
+"""Tables and folders that driver and executors share, and the code that executors need."""
+
+import io
+import zipfile
+from pathlib import Path
 
 from commwatch.session import shared_dir
 
+_SHIPPED = set()
+
 
 def stored(df, purpose):
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back.
@@ -12,3 +18,34 @@ def stored(df, purpose):
     folder = shared_dir(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def store_of(folder):
+    """File system and path of a folder's URI, or of a plain path."""
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(folder)
+
+
+def ship_package(spark):
+    """Give executors this package, once per application, whatever their own Python path holds."""
+    package = Path(__file__).resolve().parents[1]
+    if spark.sparkContext.applicationId in _SHIPPED or not package.is_dir():
+        return
+    folder = shared_dir(spark, "code")
+    store, path = store_of(folder)
+    store.create_dir(path, recursive=True)
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    with store.open_output_stream(f"{path}/{package.name}.zip") as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{package.name}.zip")
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
+def map_arrow(df, function, schema):
+    """``df.mapInArrow`` by a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
