@@ -6,6 +6,7 @@ from commwatch.llm.quality_rules import SQL as QUALITY_SQL
 from commwatch.llm.quality_rules import quality_report
 from commwatch.llm.records import token_records
 from commwatch.llm.sharding import shard_manifest
+from commwatch.llm.substring_dedup import remove_repeats
 
 
 def _table(spark, sf_dir, name):
@@ -40,11 +41,16 @@ def op8_quality_rules(spark, sf_dir):
     return quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark, sf_dir):
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op7_records": op7_records,
     "op8_quality_rules": op8_quality_rules,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 SQL = {"op8_quality_rules": QUALITY_SQL}
