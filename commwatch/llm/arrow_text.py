@@ -13,9 +13,12 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that powers have inv
 _POWERS = {}
 
 
-def chunks(batch, text="text", most=CHUNK_BYTES):
-    """Consecutive slices of a record batch with about ``most`` bytes of text, a text at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+def chunks(batch, *texts, most=CHUNK_BYTES):
+    """Consecutive slices of a record batch with about ``most`` bytes of text, a row at least."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for text in texts or ("text",):
+        length = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        sizes += length.to_numpy(zero_copy_only=False)
     ends, first = np.cumsum(sizes), 0
     while first < batch.num_rows:
         done = ends[first - 1] if first else 0

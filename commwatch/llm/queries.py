@@ -1,6 +1,7 @@
 """The operators of this subpackage on the benchmark tables, with SQL where it can say the same."""
 
 from commwatch.llm.decontamination import benchmark_hits
+from commwatch.llm.ngram_jaccard import similar_components
 from commwatch.llm.packing import pack_documents
 from commwatch.llm.quality_rules import SQL as QUALITY_SQL
 from commwatch.llm.quality_rules import quality_report
@@ -45,6 +46,10 @@ def op9_substring_dedup(spark, sf_dir):
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark, sf_dir):
+    return similar_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_packing": op4_packing,
@@ -52,5 +57,6 @@ QUERIES = {
     "op7_records": op7_records,
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 SQL = {"op8_quality_rules": QUALITY_SQL}
