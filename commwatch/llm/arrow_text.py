@@ -41,17 +41,31 @@ def lower_ascii(data):
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
-def words(data, at):
-    """First byte and end of each word, and the number of words before each text and in all."""
-    n = len(data)
-    inside = (data != 32) & ((data < 9) | (data > 13))
+def not_space(data):
+    return (data != 32) & ((data < 9) | (data > 13))
+
+
+def alphanumeric(data):
+    """ASCII letters and digits, and all bytes of other letters and signs."""
+    low = data | 32
+    return ((low >= 97) & (low <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
+
+
+def runs(inside, at):
+    """First byte and end of each run of true bytes; a run ends with its text."""
+    n = len(inside)
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
     edge = at[(at > 0) & (at < n)]  # a text ends where the next one begins, even inside a run
     begins[edge] = inside[edge]
     ends[edge - 1] = inside[edge - 1]
-    first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def words(data, at, inside=not_space):
+    """First byte and end of each word, and the number of words before each text and in all."""
+    first, last = runs(inside(data), at)
     return first, last, np.searchsorted(first, at)
 
 
@@ -90,9 +104,9 @@ def span_hashes(values, first, last, base):
     return mix((total[last] - total[first]) * inverse[first] + length * np.uint64(BASES[1]))
 
 
-def word_hashes(data, at, seed=0):
+def word_hashes(data, at, seed=0, inside=not_space):
     """Hash of each word, and the number of words before each text and in all."""
-    first, last, upto = words(data, at)
+    first, last, upto = words(data, at, inside)
     return span_hashes(data, first, last, BASES[seed]), upto
 
 

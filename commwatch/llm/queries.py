@@ -6,8 +6,10 @@ from commwatch.llm.packing import pack_documents
 from commwatch.llm.quality_rules import SQL as QUALITY_SQL
 from commwatch.llm.quality_rules import quality_report
 from commwatch.llm.records import token_records
+from commwatch.llm.secrets import secret_report
 from commwatch.llm.sharding import shard_manifest
 from commwatch.llm.substring_dedup import remove_repeats
+from commwatch.llm.toxicity import toxicity_report
 
 
 def _table(spark, sf_dir, name):
@@ -20,6 +22,10 @@ def _vocabulary():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_sharding(spark, sf_dir):
     return shard_manifest(_table(spark, sf_dir, "documents"), shards=16)
 
@@ -34,6 +40,10 @@ def op5_decontamination(spark, sf_dir):
     )
 
 
+def op6_secrets(spark, sf_dir):
+    return secret_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_records(spark, sf_dir):
     return token_records(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=0)
 
@@ -51,9 +61,11 @@ def op10_ngram_jaccard(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_secrets": op6_secrets,
     "op7_records": op7_records,
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
