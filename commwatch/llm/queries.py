@@ -1,5 +1,6 @@
 """The operators of this subpackage on the benchmark tables, with SQL where it can say the same."""
 
+from commwatch.llm.cotraining import quality_scores
 from commwatch.llm.decontamination import benchmark_hits
 from commwatch.llm.ngram_jaccard import similar_components
 from commwatch.llm.packing import pack_documents
@@ -30,6 +31,10 @@ def op2_sharding(spark, sf_dir):
     return shard_manifest(_table(spark, sf_dir, "documents"), shards=16)
 
 
+def op3_quality_classifier(spark, sf_dir):
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=1)
 
@@ -63,6 +68,7 @@ def op10_ngram_jaccard(spark, sf_dir):
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
