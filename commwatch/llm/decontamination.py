@@ -13,7 +13,7 @@ WORD = r"[\p{L}\p{N}]+"
 MASKS = ("1110111", "11011011", "111101111")
 # seeds in one broadcast table; a benchmark with more is searched in several passes
 BLOCK_SEEDS = 4_000_000
-LEAST_MATCH = 0.75  # of the compared words
+LEAST_MATCH = 0.7  # of the compared words
 LEAST_WORDS = 13  # of the compared words, or all words of a shorter item
 
 
@@ -22,28 +22,34 @@ def words_of(text):
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _seeds(words, masks):
-    """All ``(mask, place, hash)`` of a text: a mask's chosen words, hashed, at every place."""
+def _hashed_words(text):
+    return bind(words_of(text), lambda w: F.transform(w, lambda x: F.xxhash64(x)))
 
-    def under(h, number, mask):
+
+def _with_seeds(df, masks):
+    """``df`` with the columns ``place`` and ``seed``, a row per place of ``words`` and mask.
+
+    ``words`` is an array of word hashes. Places and masks are exploded one after the other, so
+    that each hash is a compiled expression and not a function called per array element.
+    """
+    shortest = min(map(len, masks))
+    places = F.when(
+        F.size("words") >= shortest, F.sequence(F.lit(0), F.size("words") - shortest)
+    )
+    placed = df.withColumn("place", F.explode(places))
+
+    def seed(number, mask):
         chosen = [k for k, bit in enumerate(mask) if bit == "1"]
-        places = F.when(
-            F.size(h) >= len(mask), F.sequence(F.lit(0), F.size(h) - len(mask))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            places,
-            lambda i: F.struct(
-                F.xxhash64(F.lit(number), *(F.get(h, i + k) for k in chosen)).alias("seed"),
-                i.alias("place"),
-            ),
-        )
+        words = (F.get("words", F.col("place") + k) for k in chosen)
+        fits = F.col("place") + len(mask) <= F.size("words")
+        return F.when(fits, F.xxhash64(F.lit(number), *words))
 
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return bind(hashes, lambda h: F.concat(*(under(h, n, m) for n, m in enumerate(masks))))
+    seeds = F.array(*(seed(n, m) for n, m in enumerate(masks)))
+    return placed.withColumn("seed", F.explode(seeds))
 
 
 def _equal_places(words, item, shift):
-    """Places of the item whose word equals the text's when the item starts at ``shift``.
+    """Places of the item whose word hash equals the text's when the item starts at ``shift``.
 
     Both ends of the item may hang over the text.
     """
@@ -103,20 +109,24 @@ def benchmark_hits(docs, benchmark, doc_id="doc_id", item_id="item_id", masks=MA
     benchmark's size. A seed found in a third of all texts or items is one entry here, holding no
     list: entries are joined, not grouped, and verified in place.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), words_of(F.col("text")).alias("item"))
-    seeds = items.select("item_id", "item", F.explode(_seeds(F.col("item"), masks)).alias("s"))
+    items = benchmark.select(
+        F.col(item_id).alias("item_id"), _hashed_words(F.col("text")).alias("words")
+    )
     seeds = stored(
-        seeds.select("item_id", F.size("item").alias("item_words"), "item",
-                     F.col("s.seed").alias("seed"), F.col("s.place").alias("item_place")),
+        _with_seeds(items, masks)
+        .where("seed IS NOT NULL")
+        .withColumnsRenamed({"words": "item", "place": "item_place"})
+        .withColumn("item_words", F.size("item")),
         "seeds",
     )
     blocks = max(1, -(-seeds.count() // block_seeds))
     texts = docs.select(
-        F.col(doc_id).alias("doc_id"), words_of(F.col("text")).alias("words"), *carry
+        F.col(doc_id).alias("doc_id"), _hashed_words(F.col("text")).alias("words"), *carry
     )
-    places = texts.select(
-        "doc_id", "words", *carry, F.explode(_seeds(F.col("words"), masks)).alias("s")
-    ).select("doc_id", "words", *carry, F.col("s.seed").alias("seed"), F.col("s.place").alias("p"))
+    places = _with_seeds(texts, masks)
+    shift = F.col("place") - F.col("item_place")
+
+    low = F.greatest(shift, F.lit(0))
 
     def search(block):
         part = seeds.where(F.pmod("seed", F.lit(blocks)) == block) if blocks > 1 else seeds
@@ -125,13 +135,18 @@ def benchmark_hits(docs, benchmark, doc_id="doc_id", item_id="item_id", masks=MA
             *carry,
             "item_id",
             "item_words",
-            (F.col("p") - F.col("item_place")).alias("shift"),
-            _stretch(
-                _equal_places(F.col("words"), F.col("item"), F.col("p") - F.col("item_place"))
-            ).alias("b"),
+            shift.alias("shift"),
+            "item",
+            F.slice("words", low + 1, F.col("item_words")).alias("seen"),
         )
 
-    found = reduce(lambda a, b: a.unionByName(b), [search(b) for b in range(blocks)])
+    # Stored before it is verified: a filter on interpreted expressions would be moved into the
+    # join, which would then no longer be compiled together with the explosion of places.
+    found = stored(reduce(lambda a, b: a.unionByName(b), map(search, range(blocks))), "hits")
+    behind = F.least(F.col("shift"), F.lit(0))
+    found = found.distinct().withColumn(
+        "b", _stretch(_equal_places(F.col("seen"), F.col("item"), behind))
+    )
     compared = F.col("b.to") - F.col("b.from") + 1
     enough = (compared >= F.least(F.lit(LEAST_WORDS), F.col("item_words"))) & (
         F.col("b.matched") >= LEAST_MATCH * compared
