@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that powers have inverses
 _POWERS = {}
 

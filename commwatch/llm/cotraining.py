@@ -187,6 +187,7 @@ def train(docs, labels, labelled=LABELLED, unlabelled=UNLABELLED):
     a source or a group of copies counts by its share. Labels of the held-out part are never read.
     """
     columns = ["text", "lang", "source", "n_chars"]
+    docs = docs.select("doc_id", *columns)
     sample = training_labels(labels, "quality", labelled)
     known = docs.join(F.broadcast(sample), "doc_id").select("label", *columns)
     keys = docs.select("doc_id").join(labels.select("doc_id").distinct(), "doc_id", "left_anti")

@@ -117,7 +117,7 @@ class Model:
     decay: float  # lambda of the extreme-value law
     space: float  # K of that law
     weights: tuple = (1.0, 0.0)  # of the evidence and of the logarithm of the text's tokens
-    bias: float = 0.0
+    bias: float = -4.0  # until there are labels to learn from, no text counts as toxic
 
 
 def decay_of(scores, shares, rest):
