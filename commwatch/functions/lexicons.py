@@ -1,8 +1,7 @@
 """Word lists by class, and the table form in which users supply their own.
 
-The topic lists are complete. Sentiment, power and fraud lists are parameters: published lists run
-to thousands of words and are loaded with ``Lexicon.from_table``. The starter lists below only let
-the engine run before a user has loaded any.
+The topic lists are complete. Sentiment, power and fraud lists are parameters without a default:
+published lists run to thousands of words and are loaded with ``Lexicons.from_table``.
 """
 
 from dataclasses import dataclass
@@ -17,6 +16,10 @@ class LexiconTooLarge(ValueError):
     """The lexicon has more words than a plan should carry; score it with a join."""
 
 
+class MissingLexicon(ValueError):
+    """The table has no words of a lexicon that scoring needs."""
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Word lists keyed by class id, in ascending id order.
@@ -89,52 +92,40 @@ SENTIMENT_LABELS = {0: "negative", 1: "positive"}
 POWER_LABELS = {0: "submit", 1: "power"}
 FRAUD_LABELS = {1: "fraud"}
 
-# Starter lists, to be replaced by a user's own table.
-STARTER_SENTIMENT = {
-    0: "problem hate vile dangerous sick hurt grief insult sorry damn limit junk negative deal",
-    1: "hero solution excellent successful triumph enjoy prize best fair better rich secure deal",
-}
-STARTER_POWER = {
-    0: "appease consent grateful obedient petition request servant wait yield please",
-    1: "manager captain govern enforce president control direct rule chief mayor",
-}
-STARTER_FRAUD = {
-    1: "fraud fraudulent bribe bribery forge insider kiting illegal confidential liability deal "
-    "write-off back-date guarantee risk",
-}
-
-
 def _lexicon(name, words, labels):
     return Lexicon(name, {c: tuple(text.split()) for c, text in words.items()}, labels)
 
 
 TOPIC = _lexicon("topic", TOPIC_WORDS, TOPIC_LABELS)
-SENTIMENT = _lexicon("sentiment", STARTER_SENTIMENT, SENTIMENT_LABELS)
-POWER = _lexicon("power", STARTER_POWER, POWER_LABELS)
-FRAUD = _lexicon("fraud", STARTER_FRAUD, FRAUD_LABELS)
 
 
 @dataclass(frozen=True)
 class Lexicons:
     """The four lexicons that score a message."""
 
+    sentiment: Lexicon
+    power: Lexicon
+    fraud: Lexicon
     topic: Lexicon = TOPIC
-    sentiment: Lexicon = SENTIMENT
-    power: Lexicon = POWER
-    fraud: Lexicon = FRAUD
 
     @classmethod
-    def from_table(cls, table, max_words=MAX_INLINE_WORDS):
-        """All four lexicons from one table; topics default to the built-in lists when absent."""
+    def from_table(cls, table, max_words=MAX_INLINE_WORDS, topic=TOPIC):
+        """All lexicons from one table; ``topic=None`` takes the topics from it too.
+
+        A lexicon that the table lacks is an error: scores by no words at all would look like
+        scores.
+        """
         def load(name, labels):
-            return Lexicon.from_table(table, name, labels, max_words)
+            lexicon = Lexicon.from_table(table, name, labels, max_words)
+            if not any(lexicon.words.values()):
+                raise MissingLexicon(f"the table has no words of the lexicon {name}")
+            return lexicon
 
-        topic = load("topic", TOPIC_LABELS)
         return cls(
-            topic if any(topic.words.values()) else TOPIC,
             load("sentiment", SENTIMENT_LABELS),
             load("power", POWER_LABELS),
             load("fraud", FRAUD_LABELS),
+            topic or load("topic", TOPIC_LABELS),
         )
 
 

@@ -36,3 +36,17 @@ def parse_time(text):
         year, part(5, 2), part(7, 2), part(9, 2), part(11, 2), second
     )
     return F.when(text.rlike(_TIME) & (year >= 1) & (second < 60), made)
+
+
+def utc_instant(wall_clock):
+    """The instant at which a clock in UTC shows a time without a zone, whatever the session's zone."""
+    parts = [f(wall_clock) for f in (F.year, F.month, F.day, F.hour, F.minute)]
+    second = F.extract(F.lit("SECOND"), wall_clock)
+    return F.make_timestamp_ltz(*parts, second, F.lit("UTC"))
+
+
+def utc_wall_clock(instant):
+    """The inverse of ``utc_instant``."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)

@@ -3,22 +3,31 @@
 from pyspark.sql import functions as F
 
 from commwatch.functions.parsing import fields, parse_time
-from commwatch.operators.validity import keep
+from commwatch.operators.validity import BAD_TIME, TOO_FEW_FIELDS, valid
 
 BATCH = "1 second"
 
 
-def timed_messages(lines):
-    """``event_time`` and ``message`` (the fourth field) of lines that have one and a valid time.
+def parse_messages(lines):
+    """``event_time`` and ``message`` (the fourth field) of each line, and why it cannot be counted.
 
-    ``event_time`` is a timestamp, as watermarks require.
+    ``event_time`` is the time on the clock as written, without a zone, so that windows do not
+    depend on the session's zone nor meet missing or repeated hours.
     """
-    named = lines.select(fields(F.col("value")).alias("parts")).select(
-        parse_time(F.get("parts", F.lit(2))).cast("timestamp").alias("event_time"),
+    named = lines.select("value", fields(F.col("value")).alias("parts")).select(
+        "value",
+        parse_time(F.get("parts", F.lit(2))).alias("event_time"),
         F.get("parts", F.lit(3)).alias("message"),
     )
-    usable = F.col("event_time").isNotNull() & F.col("message").isNotNull()
-    return keep(named, usable)
+    reason = F.when(F.col("message").isNull(), F.lit(TOO_FEW_FIELDS)).when(
+        F.col("event_time").isNull(), F.lit(BAD_TIME)
+    )
+    return named.withColumn("reason", reason)
+
+
+def timed_messages(lines):
+    """``event_time`` and ``message`` of the lines that can be counted; the others are ``rejected``."""
+    return valid(parse_messages(lines))
 
 
 def message_counts(messages, window=BATCH):

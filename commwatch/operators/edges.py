@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from commwatch.functions.flags import is_recipient
 from commwatch.functions.wire import VALUE_SEPARATOR
 from commwatch.operators.emails import parse_emails
+from commwatch.operators.validity import TOO_FEW_FIELDS, rejected
 
 MIN_FIELDS = 6
 
@@ -24,5 +25,11 @@ def edges_of(parsed):
     return parsed.select("fr", F.explode(recipients).alias("to"), F.col("date_time").alias("dt"))
 
 
+def rejected_edges(parsed):
+    """Lines with too few fields to give an edge."""
+    short = F.when(F.col("n_fields") < MIN_FIELDS, F.lit(TOO_FEW_FIELDS))
+    return rejected(parsed.withColumn("reason", short))
+
+
 def edges(lines):
     return edges_of(parse_emails(lines))

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from commwatch.functions import scoring
-from commwatch.functions.lexicons import Lexicons
 from commwatch.functions.parsing import fields
 from commwatch.functions.stopwords import ENGLISH
 from commwatch.functions.text import counts_json, token_counts, tokens, total_tokens
@@ -62,7 +61,7 @@ def score_text(df, text, lexicons, **options):
     return text_scorer(text, lexicons, **options)(df)
 
 
-def email_scorer(lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
+def email_scorer(lexicons, stop_words=ENGLISH, reset=True):
     """A transform that gives parsed emails their classes and fraud score.
 
     ``subject`` and ``content`` become the JSON of their token counts. A field without tokens has
@@ -91,7 +90,7 @@ def email_scorer(lexicons=Lexicons(), stop_words=ENGLISH, reset=True):
     return score
 
 
-def score_emails(parsed, lexicons=Lexicons(), **options):
+def score_emails(parsed, lexicons, **options):
     """Rows of ``email_stream`` for the valid records."""
     scored = email_scorer(lexicons, **options)(valid(parsed))
     return scored.select(*EMAIL_STREAM.fieldNames())

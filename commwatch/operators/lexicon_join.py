@@ -2,10 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from commwatch.functions.text import MAX_LENGTH
-
 BROADCAST_WORDS = 200_000
-SALTS = 64
 
 
 def is_small(lexicon, max_words=BROADCAST_WORDS):
@@ -13,22 +10,28 @@ def is_small(lexicon, max_words=BROADCAST_WORDS):
     return lexicon.limit(max_words + 1).count() <= max_words
 
 
-def hits_by_join(df, key, lexicon, class_ids, counts="counts", broadcast=None, salts=SALTS):
+def hits_by_join(df, key, lexicon, class_ids, counts="counts", broadcast=None, salts=None):
     """Token total and hits per class of each row, by a join with a table ``(class_id, word)``.
 
     ``key`` must identify a row of ``df``. The lexicon is broadcast when its checked size allows.
     Otherwise both sides are shuffled on the word and a salt taken from the key: a word that is in
-    every text is then spread over ``salts`` tasks, against ``salts`` copies of the lexicon. Rows
+    every text is then spread over ``salts`` tasks (the number of shuffle partitions by default),
+    against ``salts`` copies of the lexicon. Rows
     without tokens have no word to meet and spread over all tasks by their key.
 
     Returns ``key, total, hits`` with the hits in the order of ``class_ids``.
     """
-    if broadcast is None:
-        broadcast = is_small(lexicon)
+    if broadcast is not False:
+        small = is_small(lexicon)
+        if broadcast and not small:
+            raise ValueError(f"a lexicon of more than {BROADCAST_WORDS} words is not broadcast")
+        broadcast = small
+    if salts is None:
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # one row per word, so that the join cannot multiply tokens; the sets are bounded by the
-    # number of classes, and words longer than any token cannot match
+    # number of classes. No word is too long: a token may grow when it is lower-cased.
     words = (
-        lexicon.where(F.length("word") <= MAX_LENGTH)
+        lexicon.where(F.col("word").isNotNull())
         .groupBy(F.col("word").alias("token"))
         .agg(F.collect_set("class_id").alias("classes"))
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 TOO_FEW_FIELDS = "too few fields"
 BAD_AMOUNT = "bad amount"
+BAD_TIME = "bad time"
 
 
 def keep(parsed, condition):

@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from commwatch.functions import scoring
-from commwatch.functions.lexicons import FRAUD, POWER, SENTIMENT, TOPIC, lexicon_table
+from commwatch.functions.lexicons import TOPIC, lexicon_table
 from commwatch.functions.text import counts_json, token_counts, tokens, total_tokens
 from commwatch.functions.wire import addresses, sanitise
 from commwatch.operators.counts import (
     batch_counts,
     fourth_char_counts,
     message_counts,
+    parse_messages,
     timed_messages,
 )
 from commwatch.operators.edges import edges
@@ -20,6 +21,7 @@ from commwatch.operators.transactions import flag_transactions, parse_transactio
 from commwatch.operators.validity import rejected, valid
 from commwatch.plans import inputs
 from commwatch.plans.inputs import table, table_stream
+from commwatch.plans.samples import FRAUD, POWER, SAMPLES, SENTIMENT
 from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, TRANS_STREAM
 from commwatch.session import shared_dir
 from commwatch.sources.lines import stream_lines
@@ -53,7 +55,11 @@ def people_filter(spark, sf_dir):
     words = (
         table(spark, sf_dir, "documents")
         .where(F.col("text").contains("@"))
-        .select(F.explode(F.split("text", r"[ \t\r\n]+")).alias("address"))
+        .select(
+            F.explode(
+                F.filter(F.split("text", r"[ \t\r\n]+"), lambda word: word.contains("@"))
+            ).alias("address")
+        )
     )
     return people(words).distinct()
 
@@ -299,7 +305,7 @@ def fraud_score(spark, sf_dir):
 @query("email_scores")
 def email_scores(spark, sf_dir):
     return score_emails(
-        parse_emails(_email_lines(spark, sf_dir, inputs.scored_email_lines))
+        parse_emails(_email_lines(spark, sf_dir, inputs.scored_email_lines)), SAMPLES
     )
 
 
@@ -318,6 +324,17 @@ def message_count(spark, sf_dir):
     return message_counts(messages).select(_time_text("window_start"), "message", "n")
 
 
+@query("message_balance")
+def message_balance(spark, sf_dir):
+    """Damaged message lines by what became of them: counted, or rejected with a reason."""
+    lines = inputs.damaged_message_lines(table(spark, sf_dir, "events"))
+    counted = message_counts(timed_messages(lines)).agg(F.sum("n").alias("n"))
+    lost = rejected(parse_messages(lines)).groupBy("reason").agg(F.count("*").alias("n"))
+    return counted.select(F.lit("counted").alias("fate"), "n").unionByName(
+        lost.select(F.col("reason").alias("fate"), "n")
+    )
+
+
 @query("fourth_char_counts")
 def fourth_char_count(spark, sf_dir):
     return fourth_char_counts(inputs.trans_lines(table(spark, sf_dir, "events")))
@@ -358,6 +375,7 @@ def _email_stream(spark, sf_dir, purpose):
         FolderSink(f"{folder}/rejected"),
         f"{folder}/checkpoint",
         trigger=jobs.ONCE,
+        lexicons=SAMPLES,
     ).awaitTermination()
     return emails, graph
 

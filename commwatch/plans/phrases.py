@@ -1,6 +1,7 @@
 """Phrases of lexicon words, so that every class is hit by some document."""
 
-from commwatch.functions.lexicons import FRAUD, POWER, SENTIMENT, TOPIC
+from commwatch.functions.lexicons import TOPIC
+from commwatch.plans.samples import FRAUD, POWER, SENTIMENT
 
 
 def _phrase(topic):

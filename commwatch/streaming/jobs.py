@@ -7,17 +7,19 @@ input. A batch that fails stops the query, which replays it from the checkpoint
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from commwatch.functions.lexicons import Lexicons
-from commwatch.operators.counts import message_counts, timed_messages
-from commwatch.operators.edges import edges_of
+from commwatch.functions.parsing import utc_instant, utc_wall_clock
+from commwatch.operators.counts import message_counts, parse_messages, timed_messages
+from commwatch.operators.edges import edges_of, rejected_edges
 from commwatch.operators.emails import email_scorer, parse_emails
 from commwatch.operators.transactions import flag_transactions, parse_transactions
 from commwatch.operators.validity import rejected, valid
 from commwatch.schemas import EMAIL_STREAM
 from commwatch.sources.spreading import spread
+from commwatch.streaming.sinks import job_of
 
 INTERVAL = {"processingTime": "1 second"}
 ONCE = {"availableNow": True}
+DELAY = "10 minutes"
 
 
 def _start(stream, write_batch, checkpoint, trigger, mode="append"):
@@ -39,8 +41,9 @@ def _write_each(prepare, outputs):
         prepared = prepare(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not prepared.isEmpty():
+                job = job_of(batch)
                 for transform, sink in outputs:
-                    sink.write(transform(prepared), batch_id)
+                    sink.write(transform(prepared), batch_id, job)
         finally:
             prepared.unpersist()
 
@@ -54,7 +57,7 @@ def start_transactions(lines, sink, rejects, checkpoint, trigger=None, **flag_op
 
 
 def start_emails(
-    lines, email_sink, graph_sink, rejects, checkpoint, trigger=None, lexicons=Lexicons(), **options
+    lines, email_sink, graph_sink, rejects, checkpoint, trigger=None, *, lexicons, **options
 ):
     """Scored emails, edges and malformed lines of one stream, each to its sink.
 
@@ -76,25 +79,52 @@ def start_emails(
     return _start(lines, _write_each(prepare, outputs), checkpoint, trigger)
 
 
-def start_edges(lines, graph_sink, checkpoint, trigger=None):
-    write = _write_each(parse_emails, [(edges_of, graph_sink)])
-    return _start(lines, write, checkpoint, trigger)
+def start_edges(lines, graph_sink, checkpoint, trigger=None, rejects=None):
+    """Edges to ``graph_sink``; lines too short to give any to ``rejects``, where one is given."""
+    outputs = [(edges_of, graph_sink)]
+    if rejects is not None:
+        outputs.append((rejected_edges, rejects))
+    return _start(lines, _write_each(parse_emails, outputs), checkpoint, trigger)
 
 
-def start_message_counts(lines, sink, checkpoint, trigger=None, delay="10 minutes", window="1 second"):
+def _streamed_counts(lines, delay, window):
+    """Counts under a watermark, which takes instants only: times on the clock are read as UTC."""
+    timed = timed_messages(lines).withColumn("event_time", utc_instant(F.col("event_time")))
+    counts = message_counts(timed.withWatermark("event_time", delay), window)
+    return counts.withColumn("window_start", utc_wall_clock(F.col("window_start")))
+
+
+def start_message_counts(
+    lines, sink, checkpoint, trigger=None, delay=DELAY, window="1 second"
+):
     """Message counts per window as updates: each batch holds the counts it changed.
 
-    The watermark bounds the state; ``latest`` reduces the updates to the final counts.
+    The watermark bounds the state: a message later than ``delay`` behind the newest is not
+    counted, and ``late_messages`` tells how many were not. ``latest`` reduces the updates to the
+    final counts. Lines that cannot be counted at all are the business of ``start_message_rejects``.
     """
-    counts = message_counts(timed_messages(lines).withWatermark("event_time", delay), window)
-    return _start(counts, sink.write, checkpoint, trigger, mode="update")
+    counts = _streamed_counts(lines, delay, window)
+
+    def write(batch, batch_id):
+        sink.write(batch, batch_id, job_of(batch))
+
+    return _start(counts, write, checkpoint, trigger, mode="update")
 
 
-def start_console(lines, checkpoint, trigger=None, rows=10, window="1 second"):
+def start_message_rejects(lines, rejects, checkpoint, trigger=None):
+    """Lines without a usable time or message to ``rejects``, as ``start_message_counts`` skips them."""
+    return _start(lines, _write_each(parse_messages, [(rejected, rejects)]), checkpoint, trigger)
+
+
+def late_messages(query):
+    """Rows that a query's watermark has dropped so far, by its recent progress reports."""
+    operators = (o for p in query.recentProgress for o in p.get("stateOperators", []))
+    return sum(o.get("numRowsDroppedByWatermark", 0) for o in operators)
+
+
+def start_console(lines, checkpoint, trigger=None, rows=10, window="1 second", delay=DELAY):
     """Ten of the message counts of each batch to the console."""
-    counts = message_counts(
-        timed_messages(lines).withWatermark("event_time", "10 minutes"), window
-    )
+    counts = _streamed_counts(lines, delay, window)
     return (
         counts.writeStream.outputMode("update")
         .format("console")

@@ -4,29 +4,41 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from commwatch.schemas import SINK_TABLES
 
-BATCH_COLUMN = "batch_id"
+JOB_COLUMN, BATCH_COLUMN = "job", "batch_id"
+PARTITIONS = (JOB_COLUMN, BATCH_COLUMN)
+
+
+def job_of(batch):
+    """The identity of the streaming query that calls a batch function.
+
+    Spark keeps it in the checkpoint: a restarted query has the same one, another query or a fresh
+    checkpoint has another.
+    """
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 @dataclass(frozen=True)
 class FolderSink:
-    """A Parquet folder with one ``batch_id`` partition per micro-batch.
+    """A Parquet folder with one partition per job and micro-batch.
 
     A batch overwrites its own partition only, so one that is run again after a failure replaces
-    its rows.
+    its rows, and batches of equal number of other jobs or checkpoints stay.
     """
 
     path: str
 
-    def write(self, batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COLUMN}={batch_id}")
+    def write(self, batch, batch_id, job):
+        folder = f"{self.path}/{JOB_COLUMN}={job}/{BATCH_COLUMN}={int(batch_id)}"
+        batch.write.mode("overwrite").parquet(folder)
 
     def read(self, spark, schema):
-        """The rows of all batches, with their ``batch_id``; an absent folder has none."""
-        full = StructType([*schema.fields, StructField(BATCH_COLUMN, LongType())])
+        """The rows of all batches, with ``job`` and ``batch_id``; an absent folder has none."""
+        keys = [StructField(JOB_COLUMN, StringType()), StructField(BATCH_COLUMN, LongType())]
+        full = StructType([*schema.fields, *keys])
         try:
             return spark.read.schema(full).parquet(self.path)
         except AnalysisException as error:
@@ -37,17 +49,24 @@ class FolderSink:
 
 @dataclass(frozen=True)
 class TableSink:
-    """A managed table, partitioned by ``batch_id``; see ``reset_tables``."""
+    """A managed table, partitioned by ``job`` and ``batch_id``; see ``reset_tables``."""
 
     table: str
 
-    def write(self, batch, batch_id):
-        columns = ", ".join(f"`{c}`" for c in batch.columns)
-        batch.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self.table} PARTITION ({BATCH_COLUMN} = {int(batch_id)}) "
+    def write(self, batch, batch_id, job):
+        """Insert by name: the batch may have its columns in any order."""
+        spark = batch.sparkSession
+        names = [c for c in spark.table(self.table).columns if c not in PARTITIONS]
+        if sorted(names) != sorted(batch.columns):
+            raise ValueError(f"{self.table} has the columns {names}, the batch {batch.columns}")
+        columns = ", ".join(f"`{c}`" for c in names)
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {self.table} "
+            f"PARTITION ({JOB_COLUMN} = '{job}', {BATCH_COLUMN} = {int(batch_id)}) "
             f"SELECT {columns} FROM {{batch}}",
             batch=batch,
         )
+        spark.catalog.refreshTable(self.table)  # readers of a replaced partition see the new files
 
     def read(self, spark, schema=None):
         return spark.table(self.table)
@@ -62,16 +81,19 @@ def reset_tables(spark, database="default", tables=tuple(SINK_TABLES)):
         )
         spark.sql(f"DROP TABLE IF EXISTS {full_name}")
         spark.sql(
-            f"CREATE TABLE {full_name} ({columns}, {BATCH_COLUMN} bigint) "
-            f"USING parquet PARTITIONED BY ({BATCH_COLUMN})"
+            f"CREATE TABLE {full_name} ({columns}, {JOB_COLUMN} string, {BATCH_COLUMN} bigint) "
+            f"USING parquet PARTITIONED BY ({', '.join(PARTITIONS)})"
         )
 
 
 def latest(updates, *key):
-    """The last emitted value per key of an update-mode result kept with its ``batch_id``."""
-    values = [c for c in updates.columns if c not in (*key, BATCH_COLUMN)]
+    """The last emitted value per job and key of an update-mode result kept with its ``batch_id``.
+
+    Batch numbers order the updates of one job only; keys that several jobs emitted come once each.
+    """
+    values = [c for c in updates.columns if c not in (*key, *PARTITIONS)]
     return (
-        updates.groupBy(*key)
+        updates.groupBy(JOB_COLUMN, *key)
         .agg(F.max_by(F.struct(*values), BATCH_COLUMN).alias("last"))
         .select(*key, "last.*")
     )

@@ -1,13 +1,17 @@
 from datetime import datetime
 
+import pytest
+
 from commwatch.operators.counts import (
     batch_counts,
     fourth_char_counts,
     message_counts,
+    parse_messages,
     timed_messages,
 )
 from commwatch.operators.edges import edges
 from commwatch.operators.filters import business_days, until_year
+from commwatch.operators.validity import rejected, valid
 
 RECIPIENTS = {
     "a@example.com~b@example.com": 2,
@@ -40,6 +44,27 @@ def test_message_counts(rows):
     }
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_counts_do_not_depend_on_the_zone(spark, rows, zone):
+    """Hours that a zone skips or repeats are hours like any other here."""
+    stamps = ["20130310023000", "20130310033000", "20131103013000", "20131020003000", "20131020013000"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = message_counts(timed_messages(rows([f"i|p|{s}|7" for s in stamps]))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted((r.window_start.strftime("%Y%m%d%H%M%S"), r.n) for r in got) == sorted(
+        (s, 1) for s in stamps
+    )
+
+
+def test_every_line_is_counted_or_rejected(rows):
+    parsed = parse_messages(rows(["i|p|20130101000000|7", "i|p|bad|7", "i|p|20130101000000", None]))
+    assert valid(parsed).count() == 1
+    assert sorted(r.reason for r in rejected(parsed).collect()) == ["bad time", "too few fields", "too few fields"]
+
+
 def test_fourth_character_of_every_field(rows):
     got = fourth_char_counts(rows(["abcd|abc|xyzd", "", None, "1234"])).collect()
     assert {r.character: r.n for r in got} == {"d": 2, "4": 1}

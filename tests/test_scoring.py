@@ -4,17 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from commwatch.functions.lexicons import (
-    SENTIMENT,
     TOPIC,
     Lexicon,
     Lexicons,
     LexiconTooLarge,
+    MissingLexicon,
     lexicon_table,
 )
 from commwatch.functions.scoring import class_hits, class_label, class_of
 from commwatch.functions.text import token_counts, tokens
 from commwatch.operators.emails import parse_emails, score_emails, score_text
 from commwatch.operators.lexicon_join import hits_by_join, is_small
+from commwatch.plans.samples import FRAUD, POWER, SAMPLES, SENTIMENT
 from commwatch.schemas import EMAIL_STREAM
 
 SCORES = {
@@ -33,7 +34,7 @@ SCORES = {
 
 def test_email_scores(rows):
     lines = [f"{i}|p|20130101000000|f|t|{text}|{text}" for i, text in enumerate(SCORES)]
-    scored = score_emails(parse_emails(rows(lines)))
+    scored = score_emails(parse_emails(rows(lines)), SAMPLES)
     assert scored.schema.names == EMAIL_STREAM.names
     assert [f.dataType for f in scored.schema] == [f.dataType for f in EMAIL_STREAM]
     got = {int(r.ip): r for r in scored.collect()}
@@ -54,7 +55,7 @@ def test_null_text_counts_as_empty(rows):
 
 
 def test_malformed_emails_are_not_scored(rows):
-    assert score_emails(parse_emails(rows(["a|b|c|d|e|f", "", None]))).count() == 0
+    assert score_emails(parse_emails(rows(["a|b|c|d|e|f", "", None])), SAMPLES).count() == 0
 
 
 def test_topic_lists():
@@ -81,8 +82,10 @@ def test_words_with_quotes_and_shared_words(rows):
 
 
 def test_lexicon_from_table(spark):
-    table = lexicon_table(spark, TOPIC, SENTIMENT)
-    loaded = Lexicons.from_table(table)
+    with pytest.raises(MissingLexicon):
+        Lexicons.from_table(lexicon_table(spark, TOPIC, SENTIMENT))
+    table = lexicon_table(spark, TOPIC, SENTIMENT, POWER, FRAUD)
+    loaded = Lexicons.from_table(table, topic=None)
     assert {c: set(w) for c, w in loaded.topic.words.items()} == {
         c: set(w) for c, w in TOPIC.words.items()
     }
@@ -104,6 +107,19 @@ def test_join_equals_look_up(spark, broadcast):
     assert {r.id: (r.total, r.hits) for r in joined.collect()} == expected
 
 
+def test_tokens_that_grow_in_lower_case(spark):
+    """Twenty dotted capitals pass the length test and are forty characters in lower case."""
+    token = "\u0130" * 20
+    grown = spark.sql(f"SELECT lower('{token}')").first()[0]
+    own = Lexicon("own", {0: (grown,)}, {0: "long"})
+    frame = spark.createDataFrame([(1, token)], "id long, text string")
+    scored = score_text(frame, "text", (own,))
+    assert scored.first().own_hits == [1]
+    lexicon = lexicon_table(spark, own).select("class_id", "word")
+    for broadcast in (True, False):
+        assert hits_by_join(scored, "id", lexicon, (0,), broadcast=broadcast).first().hits == [1]
+
+
 def test_empty_lexicon(rows):
     frame = score_text(rows(["gas"], "text"), "text", (Lexicon("none", {0: (), 1: ()}, {}),))
     assert frame.select("none_hits").collect()[0][0] == [0, 0]

@@ -1,9 +1,12 @@
+import os
+
 import pytest
 
 from commwatch.operators.counts import message_counts, timed_messages
 from commwatch.operators.edges import edges
 from commwatch.operators.emails import parse_emails, score_emails
 from commwatch.operators.transactions import flag_transactions, parse_transactions
+from commwatch.plans.samples import SAMPLES
 from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, REJECTED, SINK_TABLES, TRANS_STREAM
 from commwatch.sources.lines import stream_lines
 from commwatch.streaming import jobs
@@ -42,7 +45,7 @@ def test_transactions_as_in_batch(spark, rows, source, tmp_path):
     written = sink.read(spark, TRANS_STREAM)
     assert {r.batch_id for r in written.select("batch_id").distinct().collect()} == {0, 1, 2}
     expected = flag_transactions(parse_transactions(rows(TRANS)), threshold=5000)
-    same(written.drop("batch_id"), expected)
+    same(written.drop("job", "batch_id"), expected)
     assert rejects.read(spark, REJECTED).count() == 2
 
 
@@ -66,10 +69,55 @@ def test_replayed_batch_replaces_its_rows(spark, rows, tmp_path):
     frame = flag_transactions(parse_transactions(rows(TRANS)))
     for sink in (FolderSink(f"{tmp_path}/trans"), TableSink("default.trans_stream")):
         reset_tables(spark, tables=("trans_stream",))
-        sink.write(frame, 0)
-        sink.write(frame, 1)
-        sink.write(frame, 1)
+        sink.write(frame, 0, "a")
+        sink.write(frame, 1, "a")
+        seen = sink.read(spark, TRANS_STREAM)
+        assert seen.count() == 120
+        sink.write(frame.select(*reversed(frame.columns)), 1, "a")
         assert sink.read(spark, TRANS_STREAM).count() == 120
+        sink.write(frame, 1, "b")
+        assert sink.read(spark, TRANS_STREAM).count() == 180
+        same(sink.read(spark, TRANS_STREAM).where("job = 'a' AND batch_id = 1").drop("job", "batch_id"), frame)
+
+
+def test_jobs_and_checkpoints_keep_their_rows_in_a_shared_sink(spark, source, tmp_path):
+    lines, rejects = source(TRANS + EMAILS), FolderSink(f"{tmp_path}/rejected")
+    trans, graph = FolderSink(f"{tmp_path}/trans"), FolderSink(f"{tmp_path}/graph")
+
+    def run(name):
+        jobs.start_transactions(
+            lines, trans, rejects, f"{tmp_path}/{name}-trans", jobs.ONCE
+        ).awaitTermination()
+        jobs.start_edges(
+            lines, graph, f"{tmp_path}/{name}-edges", jobs.ONCE, rejects=rejects
+        ).awaitTermination()
+        return [s.read(spark, k).count() for s, k in ((trans, TRANS_STREAM), (graph, EMAIL_GRAPH), (rejects, REJECTED))]
+
+    first = run("one")
+    assert first[2] > 62  # the transaction job alone rejects the emails and two more
+    assert run("one") == first  # nothing new under the same checkpoint
+    assert run("two") == [2 * n for n in first]
+
+
+def test_uncountable_messages_are_kept(spark, source, tmp_path):
+    lines = source([*MESSAGES, "i|p|bad|7", "i|p|20130101000000", "x"])
+    rejects = FolderSink(f"{tmp_path}/rejected")
+    jobs.start_message_rejects(lines, rejects, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()
+    got = {(r.value, r.reason) for r in rejects.read(spark, REJECTED).collect()}
+    assert got == {("i|p|bad|7", "bad time"), ("i|p|20130101000000", "too few fields"), ("x", "too few fields")}
+
+
+def test_late_messages_are_told(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    for i, day in enumerate(("03", "01", "04")):
+        (tmp_path / "lines" / f"{i}.txt").write_text(f"i|p|201301{day}000000|7\n")
+        os.utime(tmp_path / "lines" / f"{i}.txt", (i + 1, i + 1))
+    lines = stream_lines(spark, "text", path=f"{tmp_path}/lines", maxFilesPerTrigger=1)
+    sink = FolderSink(f"{tmp_path}/counts")
+    query = jobs.start_message_counts(lines, sink, f"{tmp_path}/checkpoint", jobs.ONCE)
+    query.awaitTermination()
+    schema = message_counts(timed_messages(lines)).schema
+    assert sink.read(spark, schema).count() + jobs.late_messages(query) == 3
 
 
 def test_emails_and_edges_from_one_stream(spark, rows, source, tmp_path):
@@ -77,9 +125,9 @@ def test_emails_and_edges_from_one_stream(spark, rows, source, tmp_path):
     emails, graph = TableSink("default.email_stream"), TableSink("default.email_graph")
     rejects = TableSink("default.rejected")
     jobs.start_emails(
-        source(EMAILS), emails, graph, rejects, f"{tmp_path}/checkpoint", jobs.ONCE
+        source(EMAILS), emails, graph, rejects, f"{tmp_path}/checkpoint", jobs.ONCE, lexicons=SAMPLES
     ).awaitTermination()
-    same(emails.read(spark).select(*EMAIL_STREAM.names), score_emails(parse_emails(rows(EMAILS))))
+    same(emails.read(spark).select(*EMAIL_STREAM.names), score_emails(parse_emails(rows(EMAILS)), SAMPLES))
     same(graph.read(spark).select(*EMAIL_GRAPH.names), edges(rows(EMAILS)))
     # six fields are enough for an edge and too few for an email
     assert graph.read(spark).count() == 41 and rejects.read(spark).count() == 2
@@ -88,7 +136,7 @@ def test_emails_and_edges_from_one_stream(spark, rows, source, tmp_path):
 def test_edges_only(spark, rows, source, tmp_path):
     sink = FolderSink(f"{tmp_path}/graph")
     jobs.start_edges(source(EMAILS), sink, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()
-    same(sink.read(spark, EMAIL_GRAPH).drop("batch_id"), edges(rows(EMAILS)))
+    same(sink.read(spark, EMAIL_GRAPH).drop("job", "batch_id"), edges(rows(EMAILS)))
 
 
 def test_message_counts_as_in_batch(spark, rows, source, tmp_path):
@@ -102,7 +150,7 @@ def test_message_counts_as_in_batch(spark, rows, source, tmp_path):
 
 def test_failed_batch_stops_the_query(source, tmp_path):
     class Broken:
-        def write(self, batch, batch_id):
+        def write(self, batch, batch_id, job):
             raise RuntimeError("disk full")
 
     query = jobs.start_edges(source(EMAILS), Broken(), f"{tmp_path}/checkpoint", jobs.ONCE)
@@ -122,7 +170,7 @@ def test_reset_tables(spark):
     reset_tables(spark)
     for name, schema in SINK_TABLES.items():
         table = spark.table(f"default.{name}")
-        assert table.columns == [*schema.names, "batch_id"]
+        assert table.columns == [*schema.names, "job", "batch_id"]
         assert table.count() == 0
 
 
