@@ -17,7 +17,8 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary():
+def byte_vocabulary():
+    """Path of the byte-level vocabulary that the queries use."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -36,7 +37,7 @@ def op3_quality_classifier(spark, sf_dir):
 
 
 def op4_packing(spark, sf_dir):
-    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=1)
+    return pack_documents(_table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=1)
 
 
 def op5_decontamination(spark, sf_dir):
@@ -50,7 +51,7 @@ def op6_secrets(spark, sf_dir):
 
 
 def op7_records(spark, sf_dir):
-    return token_records(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=0)
+    return token_records(_table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=0)
 
 
 def op8_quality_rules(spark, sf_dir):
