@@ -7,26 +7,31 @@ from commwatch.functions.binding import text_list
 UNKNOWN_CLASS = -1
 
 
+def known_tokens(counts, lexicons):
+    """The token counts, in the column named ``counts``, whose token is in any of the lexicons.
+
+    Catalyst turns the literal list into a hash set, so a token costs one look-up however many
+    lexicons there are.
+    """
+    every = sorted({w for x in lexicons for c in x.class_ids for w in x.words[c]})
+    return F.expr(f"filter({counts}, c -> c.token IN ({text_list(every)}))" if every else counts)
+
+
 def class_hits(counts, lexicon):
     """Hits per class, in ascending class id order, from the token-count column named ``counts``.
 
-    Catalyst turns the literal lists into hash sets, so a token costs one look-up and only the
-    few lexicon words are then tried against each class.
+    Each class tries every token, so pass the few that ``known_tokens`` leaves.
     """
-    every = sorted({w for c in lexicon.class_ids for w in lexicon.words[c]})
-    if not every:
-        return F.array(*[F.lit(0).cast("bigint") for _ in lexicon.class_ids])
     sums = []
     for class_id in lexicon.class_ids:
         words = lexicon.words[class_id]
         if words:
             sums.append(
-                f"aggregate(hits, 0L, (s, h) -> s + IF(h.token IN ({text_list(words)}), h.n, 0L))"
+                f"aggregate({counts}, 0L, (s, h) -> s + IF(h.token IN ({text_list(words)}), h.n, 0L))"
             )
         else:
             sums.append("0L")
-    known = f"filter({counts}, c -> c.token IN ({text_list(every)}))"
-    return F.expr(f"get(transform(array({known}), hits -> array({', '.join(sums)})), 0)")
+    return F.expr(f"array({', '.join(sums)})")
 
 
 def first_best_class(hits, class_ids):

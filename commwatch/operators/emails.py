@@ -45,16 +45,24 @@ def text_scorer(text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
 
     It adds ``<prefix>counts``, ``<prefix>total`` and ``<prefix><lexicon>_hits``: the token counts,
     their total, and the hits per class of each lexicon. All of it is computed within the row, so
-    no row key is needed and nothing is shuffled. The two steps are separate projections, which
-    keeps Catalyst from repeating the first inside the second. The expressions are built here,
+    no row key is needed and nothing is shuffled. One pass over the counts finds the tokens of any
+    lexicon, and the classes are tried on those alone. The steps are separate projections, which
+    keeps Catalyst from repeating one inside the next. The expressions are built here,
     once, however often the transform is applied.
     """
     counts = f"{prefix}counts"
     counting = token_counts(tokens(text, stop_words), reset)
-    scores = {f"{prefix}total": total_tokens(F.col(counts))}
-    for lexicon in lexicons:
-        scores[f"{prefix}{lexicon.name}_hits"] = scoring.class_hits(counts, lexicon)
-    return lambda df: df.withColumn(counts, counting).withColumns(scores)
+    known = f"{prefix}known"
+    finding = {
+        f"{prefix}total": total_tokens(F.col(counts)),
+        known: scoring.known_tokens(counts, lexicons),
+    }
+    scores = {
+        f"{prefix}{lexicon.name}_hits": scoring.class_hits(known, lexicon) for lexicon in lexicons
+    }
+    return lambda df: (
+        df.withColumn(counts, counting).withColumns(finding).withColumns(scores).drop(known)
+    )
 
 
 def score_text(df, text, lexicons, **options):
