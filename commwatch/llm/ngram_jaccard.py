@@ -16,7 +16,7 @@ so the sets agree in whole segments. Three refinements keep the signatures few a
 Candidates are verified exactly on the texts.
 """
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ from commwatch.llm.storage import map_arrow, stored
 
 WIDTH = 5
 PERCENT = 80
+TRIES = 3  # hubs that a node is compared with in a turn
+TURNS = 4
 SKETCH = 4  # numbers of 64 bits
 SETS = "doc_id long, t1 long, node long, n long, " + ", ".join(f"k{i} long" for i in range(SKETCH))
 
@@ -196,6 +198,17 @@ def _may_link(x, y, percent):
     )
 
 
+def _least_shared(x, y, percent):
+    """Told segments that similar sets have in common, but for a chance below 1e-13.
+
+    Of the H + 1 segments that either set tells at least, H differences spoil each with a chance of
+    at most 1 - 1/e, as there are no fewer segments than differences and places are hashed. Of
+    more than a hundred a share of about a twentieth is left; small sets have to share one.
+    """
+    differing = F.expr(f"({x}.n + {y}.n) * {100 - percent} div {100 + percent}")
+    return F.greatest(F.lit(1), F.floor((differing - 59) / 20)).cast("int")
+
+
 def _sketched(pairs, nodes, percent):
     """Pairs that their sizes and parities allow to be similar."""
     return (
@@ -221,9 +234,12 @@ def _links(pairs, nodes, docs, width, percent):
     return stored(checked.where("linked").select("a", "b"), "links")
 
 
-def similar_components(df, width=WIDTH, percent=PERCENT):
+def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``.
 
+    ``with_text_hash`` adds ``text_hash``, which tells rows of one key apart, and ``group``, a
+    number of the component that needs no key (null without n-grams).
+
     A set holds the distinct n-grams of ``width`` words of a text, A to Z in lower case; a shorter
     text is one n-gram. Two documents link when 100 times the shared n-grams are at least
     ``percent`` times all of both. ``component_id`` is the smallest ``doc_id`` that links lead to.
@@ -234,13 +250,15 @@ def similar_components(df, width=WIDTH, percent=PERCENT):
     read. Sets and n-grams are compared by 64-bit hashes.
 
     1. Documents become sets; equal sets are one node from here on.
-    2. Signatures meet in one shuffle. In each group of a signature the smallest node is its hub.
-       Hubs that a node's size and parities rule out are passed over; against the one that shares
-       most signatures with it, the node is verified. That joins copies of all kinds at a cost of
-       one comparison per node, however large their group is.
-    3. What is left are groups with nodes of several components. In these, nodes outside the
-       group's commonest component meet the others, again if sizes and parities allow it, so that
-       no link between components is lost and no pair inside one is looked at.
+    2. Signatures meet in one shuffle. In each group of a signature one node is the hub. A node is
+       compared with the few hubs that share most signatures with it, if sizes and parities do not
+       rule them out. In the next turns only groups with nodes of several components are left, and
+       their hubs are drawn from their commonest component. That joins copies of all kinds at a
+       cost of a few comparisons per node and turn, however large their group is.
+    3. In the groups that still have several components, nodes outside the commonest one meet the
+       others, again if sizes and parities allow it, so that no link between components is lost
+       and no pair inside one is looked at. Pairs of large sets have to meet in several groups
+       (``_least_shared``), as a shared passage brings few.
     """
     rows = df.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -261,34 +279,53 @@ def similar_components(df, width=WIDTH, percent=PERCENT):
     group = Window.partitionBy("sig")
     met = told.withColumn("hub", F.min("node").over(group)).withColumn("top", F.max("node").over(group))
     groups = stored(met.where("hub <> top").select("sig", "node", "hub"), "groups")
-    hubs = (
-        groups.where("node <> hub")
-        .groupBy(F.col("hub").alias("a"), F.col("node").alias("b"))
-        .agg(F.count("*").alias("shared"))
-    )
-    hubs = stored(_sketched(hubs, nodes, percent), "hubs")
-    best = hubs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-    best = stored(best.select("a", "b"), "best")
-    links = _links(best, nodes, rows, width, percent)
-    labels = stored(components(links), "components")
-
-    def labelled(frame, column, name):
+    def labelled(frame, labels, column="node", name="c"):
         named = labels.select(F.col("v").alias(column), F.col("c").alias(name))
         return frame.join(named, column, "left").withColumn(name, F.coalesce(name, column))
 
-    other = labelled(labelled(hubs.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb")
-    other = other.select("a", "b").join(best, ["a", "b"], "left_anti")
-    marked = labelled(groups.select("sig", "node").distinct(), "node", "c")
-    mixed = (
-        marked.withColumn("low", F.min("c").over(group))
-        .withColumn("high", F.max("c").over(group))
-        .withColumn("common", F.mode("c").over(group))
-        .where("low <> high")
-        .join(nodes, "node")
-        .select("sig", "node", "c", "common", "n", *sketch)
+    def mixed_groups(frame, labels):
+        """Groups with nodes of several components, and the commonest of these."""
+        marked = labelled(frame.select("sig", "node").distinct(), labels)
+        lowest, highest = F.min("c").over(group), F.max("c").over(group)
+        common = marked.withColumns({"mixed": lowest < highest, "common": F.mode("c").over(group)})
+        return stored(common.where("mixed").drop("mixed"), "mixed")
+
+    def tries(pairs, turn):
+        """Of the hubs that each node meets, the few with most groups in common, as pairs."""
+        met = pairs.groupBy("node", "hub").agg(F.count("*").alias("shared"))
+        met = met.select(F.col("node").alias("a"), F.col("hub").alias("b"), "shared")
+        if tested:
+            done = reduce(lambda x, y: x.unionByName(y), tested)
+            both = done.unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            met = met.join(both, ["a", "b"], "left_anti")
+        rank = F.row_number().over(
+            Window.partitionBy("a").orderBy(F.desc("shared"), F.xxhash64("b", F.lit(turn)))
+        )
+        few = _sketched(met, nodes, percent).withColumn("rank", rank).where(F.col("rank") <= TRIES)
+        return stored(few.select("a", "b").distinct(), "pairs")
+
+    tested, links = [], []
+
+    def test(pairs):
+        tested.append(pairs)
+        links.append(_links(pairs, nodes, rows, width, percent))
+        return stored(components(reduce(lambda x, y: x.unionByName(y), links)), "components")
+
+    labels = test(tries(groups.where("node <> hub").select("node", "hub"), 0))
+    mixed = mixed_groups(groups, labels)
+    for turn in range(1, TURNS):
+        member = F.when(F.col("c") == F.col("common"), F.col("node"))
+        drawn = F.xxhash64("sig", "node", F.lit(turn))
+        pairs = mixed.withColumn("hub", F.max_by(member, F.when(member.isNotNull(), drawn)).over(group))
+        pairs = tries(pairs.where("c <> common").select("node", "hub"), turn)
+        if pairs.isEmpty():
+            break
+        labels = test(pairs)
+        mixed = mixed_groups(mixed, labels)
+    told_all = stored(
+        mixed.join(nodes, "node").select("sig", "node", "c", "common", "n", *sketch), "told"
     )
-    mixed = stored(mixed, "mixed")
-    x, y = mixed.where("c <> common").alias("x"), mixed.alias("y")
+    x, y = told_all.where("c <> common").alias("x"), told_all.alias("y")
     across = x.join(
         y,
         (F.col("x.sig") == F.col("y.sig"))
@@ -296,18 +333,25 @@ def similar_components(df, width=WIDTH, percent=PERCENT):
         & ((F.col("y.c") == F.col("y.common")) | (F.col("x.node") < F.col("y.node")))
         & _may_link("x", "y", percent),
     ).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+        F.least("x.node", "y.node").alias("a"),
+        F.greatest("x.node", "y.node").alias("b"),
+        _least_shared("x", "y", percent).alias("least"),
     )
-    more = stored(
-        across.unionByName(other).distinct().join(best, ["a", "b"], "left_anti"), "pairs"
+    counted = across.groupBy("a", "b", "least").agg(F.count("*").alias("shared"))
+    done = reduce(lambda p, q: p.unionByName(q), tested).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
+    more = counted.where("shared >= least").select("a", "b").join(done, ["a", "b"], "left_anti")
+    more = stored(more, "pairs")
     if not more.isEmpty():
-        links = links.unionByName(_links(more, nodes, rows, width, percent))
-        labels = stored(components(links), "components")
-    known = labelled(sets.where("n > 0").select("doc_id", "n", "node"), "node", "c")
+        labels = test(more)
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    known = labelled(sets.where("n > 0").select("doc_id", "n", "node", "t1"), labels)
     smallest = known.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    joined = known.join(smallest, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    bare = sets.where("n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
+    joined = known.join(smallest, "c")
+    bare = sets.where("n = 0").withColumns(
+        {"component_id": F.col("doc_id"), "c": F.lit(None).cast("bigint")}
     )
-    return joined.unionByName(bare)
+    if with_text_hash:
+        columns += [F.col("t1").alias("text_hash"), F.col("c").alias("group")]
+    return joined.select(*columns).unionByName(bare.select(*columns))
