@@ -17,7 +17,7 @@ _RARE_SPACE = re.compile(
 )
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
-MOST_PIECES = 600_000  # of a worker's memory, about 250 bytes each
+MOST_PIECES = 500_000  # of each of two generations in a worker's memory, about 250 bytes each
 
 _ENCODERS = {}
 
@@ -30,24 +30,32 @@ def _byte_marks():
 
 
 class _Pieces(dict):
-    """Piece to the bytes of its ids; ``lead`` is the space before every piece but a text's first."""
+    """Piece to the bytes of its ids; ``lead`` is the space before every piece but a text's first.
+
+    A full dictionary becomes the elder generation, from which pieces in use move to the new one.
+    """
 
     def __init__(self, encoder, lead):
         super().__init__()
-        self.encoder, self.lead = encoder, lead
+        self.encoder, self.lead, self.elder = encoder, lead, {}
 
     def __missing__(self, piece):
         if len(self) >= MOST_PIECES:
+            self.elder = dict(self)
             self.clear()
-        if _LETTERS.fullmatch(piece):
-            ids = self.encoder.word(self.lead + piece)
-        elif piece[-1:] in (",", ".") and _LETTERS.fullmatch(piece, 0, len(piece) - 1):
-            ids = self[piece[:-1]] + self.encoder.marks[piece[-1]]
-        else:
-            ids = self.encoder.plain(self.lead + piece)
+        ids = self.elder.pop(piece, None)
+        if ids is None:
+            ids = self._encoded(piece)
         self[piece] = ids
         return ids
 
+    def _encoded(self, piece):
+        if _LETTERS.fullmatch(piece):
+            return self.encoder.word(self.lead + piece)
+        if piece[-1:] in (",", ".") and _LETTERS.fullmatch(piece, 0, len(piece) - 1):
+            return self[piece[:-1]] + self.encoder.marks[piece[-1]]
+        return self.encoder.plain(self.lead + piece)
+
 
 class Encoder:
     def __init__(self, path):
