@@ -32,7 +32,7 @@ from commwatch.llm.storage import map_arrow, stored
 WIDTH = 5
 PERCENT = 80
 TRIES = 3  # hubs that a node is compared with in a turn
-TURNS = 4
+TURNS = 3
 SKETCH = 4  # numbers of 64 bits
 SETS = "doc_id long, t1 long, node long, n long, " + ", ".join(f"k{i} long" for i in range(SKETCH))
 
