@@ -25,7 +25,7 @@ TRAIN_ROWS = 40_000  # labelled texts: the bound of the training sample
 STEMS = (4, 5, 6, 7, 8)  # bytes of the word beginnings that are tokens beside whole words
 LEAST_COUNT = 5  # toxic texts with the token
 LEAST_ODDS = 1.0
-LEAST_Z = 5.0  # log-odds over their standard deviation
+LEAST_Z = 5.0  # standard deviations, by the likelihood ratio of a token's shares of texts
 PRIOR = 500.0  # occurrences that the prior weighs
 PASSAGE_ODDS = 0.1  # added cost of a token that tells nothing: passages stay short
 MOST_E = 0.2  # expected number of chance segments as good, of a segment that counts
@@ -209,11 +209,18 @@ def _score(batches, model, features_only):
 
 
 def _z(one, of_one, other, of_other):
-    """Log-odds over their standard deviation, of a token's share of the texts of each label."""
-    a = 0.5
-    odds = np.log((one + a) / (of_one - one + a)) - np.log((other + a) / (of_other - other + a))
-    parts = (one, of_one - one, other, of_other - other)
-    return odds / np.sqrt(sum(1 / (x + a) for x in parts))
+    """Signed root of the likelihood ratio: a token's share of the texts of each label, against one share.
+
+    Of tokens in as many texts of the one label, that in fewest others has the highest value.
+    """
+
+    def likelihood(x, n):
+        parts = (x, n - x)
+        return sum(p * np.log(np.maximum(p, 1) / max(n, 1)) for p in parts)
+
+    apart = likelihood(one, of_one) + likelihood(other, of_other)
+    ratio = 2 * (apart - likelihood(one + other, of_one + of_other))
+    return np.sign(one * of_other - other * of_one) * np.sqrt(np.maximum(ratio, 0))
 
 
 def train(docs, labels, most=TRAIN_ROWS):

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from commwatch.llm import cotraining, secrets, toxicity
 from tests.llm.conftest import SCHEMA, prose
@@ -160,6 +161,23 @@ def test_toxicity_finds_unseen_texts_and_spares_clean_ones(spark, odd, none):
     assert toxicity.toxicity_report(odd, odd_labels).count() == odd.count()
 
 
+def test_a_rare_word_of_toxic_texts_alone_scores(spark):
+    docs, labels, left = [], [], 6
+    for i in range(1200):
+        toxic, text = i % 10 == 0, prose(i, 60, 3000)
+        if toxic and left and zlib.crc32(str(i).encode()) % 4 != 2:
+            text, left = text + " grubscum", left - 1
+        docs.append((i, text, "en", "s", 1))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(docs, SCHEMA)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    word = toxicity._tokens(pa.array(["grubscum"]))[0][0, 0]
+    assert word in toxicity.train(docs, labels).known
+    # the fewer clean texts have a token the stronger it is, and nothing speaks for a clean one
+    z = toxicity._z(np.full(5, 6.0), 400, np.array([0, 1, 2, 54, 90.0]), 3600)
+    assert z[0] >= toxicity.LEAST_Z and (np.diff(z) < 0).all() and abs(z[3]) < 1e-6
+
+
 def test_quality_by_co_training(spark, odd, none):
     draw, docs, labels = random.Random(4), [], []
     for i in range(500):
