@@ -74,6 +74,18 @@ def test_network_learns_disorder_and_keeps_the_base(spark):
         assert not ("token = " in text and text.split("token = ")[1][:40] in r.clean_text)
 
 
+def test_the_threshold_keeps_the_recall_below_one_half():
+    draw = np.random.default_rng(4)
+    labels = (np.arange(4000) % 10 == 0).astype(np.float32)
+    net = secrets.Network()
+    net.logits = lambda rows, inside: rows[:, 0]
+    rows = draw.normal(0, 1, (4000, 1)) + 1.5 * labels[:, None]
+    net.calibrate(rows, None, labels)
+    chance = net.probability(rows, None)
+    assert np.mean(chance[labels == 1] >= 0.5) < secrets.LEAST_RECALL
+    assert net.threshold < 0.5 and np.mean(chance[labels == 1] >= net.threshold) >= secrets.LEAST_RECALL
+
+
 def test_gradient_of_the_network():
     draw = np.random.default_rng(0)
     net = secrets.Network(3)
