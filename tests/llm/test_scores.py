@@ -74,6 +74,20 @@ def test_network_learns_disorder_and_keeps_the_base(spark):
         assert not ("token = " in text and text.split("token = ")[1][:40] in r.clean_text)
 
 
+def test_every_part_of_a_run_is_judged():
+    # a run without a digit, what a base span leaves, and the end of a long run
+    texts = ["x abcdefghijklmnopqrstuv y", "Zq8TrX" + "0123456789abcdef" + "w9Lk2P", "dir/" * 40 + "Zq8TrXw9Lk2P"]
+    scan = secrets.Scanned(pa.array(texts))
+    spans = [[(a - scan.at[k], b - scan.at[k]) for a, b in scan.free(k)] for k in range(3)]
+    assert spans == [[(2, 24)], [(0, 6), (22, 28)], [(0, 172)]]
+    seen = {x for a, b in secrets.pieces(0, 172) for x in range(a, b)}
+    assert seen == set(range(172)) and secrets.pieces(0, 172)[-1] == (124, 172)
+    net = secrets.Network()
+    end = secrets._SYMBOL[list(b"Zq8TrXw9Lk2P")]
+    net.probability = lambda rows, _: np.array([float(end.tobytes() in r.astype(end.dtype).tobytes()) for r in rows])
+    assert secrets._chances(scan, net, [(2, scan.free(2)[0])]) == [1.0]
+
+
 def test_the_threshold_keeps_the_recall_below_one_half():
     draw = np.random.default_rng(4)
     labels = (np.arange(4000) % 10 == 0).astype(np.float32)
