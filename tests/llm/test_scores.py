@@ -74,6 +74,27 @@ def test_network_learns_disorder_and_keeps_the_base(spark):
         assert not ("token = " in text and text.split("token = ")[1][:40] in r.clean_text)
 
 
+def base62(draw, n):
+    return "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+
+
+def test_a_kind_of_key_without_base_pattern_is_found_however_common(spark):
+    draw, nouns = random.Random(6), "river stone garden window market silver morning paper bridge winter".split()
+    few = lambda n: [draw.choice(nouns) for _ in range(n)]
+    rows = [
+        (i, f"{' '.join(few(20))} {['token = ' + base62(draw, 32), 'see ' + '/'.join(few(4)), 'id ' + base62(draw, 32)][min(i % 6, 2)]} {' '.join(few(20))}")
+        for i in range(600)
+    ]
+    network = secrets.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    new = spark.createDataFrame(
+        [(i, f"{' '.join(few(8))} id {base62(draw, 32)} {' '.join(few(3))}") for i in range(60)]
+        + [(100 + i, f"{' '.join(few(8))} see {'/'.join(few(4))} then") for i in range(60)],
+        "doc_id long, text string",
+    )
+    found = {r.doc_id for r in secrets.scan_secrets(new, network).collect() if "model" in r.spans}
+    assert sum(k < 100 for k in found) >= 57 and sum(k >= 100 for k in found) <= 3
+
+
 def test_every_part_of_a_run_is_judged():
     # a run without a digit, what a base span leaves, and the end of a long run
     texts = ["x abcdefghijklmnopqrstuv y", "Zq8TrX" + "0123456789abcdef" + "w9Lk2P", "dir/" * 40 + "Zq8TrXw9Lk2P"]
