@@ -14,6 +14,7 @@ from commwatch.operators.counts import (
     timed_messages,
 )
 from commwatch.operators.edges import edges
+from commwatch.operators.email_lexicon_join import score_emails_by_table
 from commwatch.operators.emails import parse_emails, score_emails, score_text
 from commwatch.operators.filters import business_days, people, until_year
 from commwatch.operators.lexicon_join import hits_by_join
@@ -23,7 +24,7 @@ from commwatch.plans import inputs
 from commwatch.plans.inputs import table, table_stream
 from commwatch.plans.samples import FRAUD, POWER, SAMPLES, SENTIMENT
 from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, TRANS_STREAM
-from commwatch.session import shared_dir
+from commwatch.session import shared_dir, stored
 from commwatch.sources.lines import stream_lines
 from commwatch.sources.spreading import spread
 from commwatch.streaming import jobs
@@ -234,7 +235,7 @@ def topic_hits(spark, sf_dir):
 
 @query("topic_hits_joined")
 def topic_hits_joined(spark, sf_dir):
-    """The same hits by a salted join with the lexicon as a table."""
+    """The same hits by a join with the lexicon as a table, heavy words dealt out apart."""
     words = tokens("text")
     counted = inputs.with_phrase(_documents(spark, sf_dir)).select(
         "doc_id", token_counts(words).alias("counts")
@@ -255,6 +256,7 @@ def table_lexicon_hits(spark, sf_dir):
         .distinct()
         .select((F.length("word") % 2).alias("class_id"), "word")
     )
+    vocabulary = stored(vocabulary, "vocabulary")
     counted = _documents(spark, sf_dir).select("doc_id", token_counts(words).alias("counts"))
     scored = hits_by_join(counted, "doc_id", vocabulary, (0, 1))
     return _hit_rows(scored).select("doc_id", "total", "class_id", "hits")
@@ -309,6 +311,18 @@ def email_scores(spark, sf_dir):
     )
 
 
+def _vocabulary(spark, sf_dir):
+    """A lexicon table of tens of thousands of words and more, too many to write into a plan."""
+    return stored(inputs.vocabulary(_documents(spark, sf_dir)), "vocabulary")
+
+
+@query("email_scores_by_table")
+def email_scores_by_table(spark, sf_dir):
+    """Emails scored by lexicons above the inline bound."""
+    lines = _email_lines(spark, sf_dir, inputs.scored_email_lines)
+    return score_emails_by_table(parse_emails(lines), _vocabulary(spark, sf_dir))
+
+
 # --- edges and counts
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from commwatch.functions.text import tokens
 from commwatch.functions.wire import delimited
 from commwatch.operators.emails import encode_emails
 from commwatch.operators.transactions import encode_transactions
@@ -132,6 +133,19 @@ def scored_email_lines(documents):
     return email_lines(with_phrase(documents))
 
 
+def vocabulary(documents):
+    """A lexicon of all tokens of the documents, dealt out to every class by a checksum."""
+    words = documents.select(F.explode(tokens("text")).alias("token"))
+    words = words.select(F.lower("token").alias("word")).distinct()
+    digit = F.conv(F.substring(F.md5("word"), 1, 1), 16, 10).cast("int")
+    return words.select(
+        F.when(digit < 2, "sentiment").when(digit < 4, "power").when(digit == 4, "fraud")
+        .otherwise("topic").alias("lexicon"),
+        F.when(digit < 4, digit % 2).when(digit == 4, 1).otherwise(digit - 5).alias("class_id"),
+        "word",
+    )
+
+
 def order_email_lines(lineitem):
     """An email per order line, from the order to the part, the supplier and invalid recipients."""
     part = F.format_string("part%d@example.com", "l_partkey")

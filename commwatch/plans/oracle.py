@@ -169,6 +169,24 @@ lexicon(lexicon, class_id, word) AS (VALUES {LEXICON}),
 classes(lexicon, class_id, label) AS (VALUES {CLASSES})"""
 
 
+VOCABULARY_TABLES = (
+    _words("documents", "text", "doc_id").replace("lists AS", "all_lists AS")
+    .replace("words AS", "all_words AS").replace("FROM lists", "FROM all_lists"),
+    """
+digits AS (
+  SELECT word, instr('0123456789abcdef', md5(word)[1]) - 1 AS digit
+  FROM (SELECT DISTINCT lower(word) AS word FROM all_words)),
+lexicon AS (
+  SELECT CASE WHEN digit < 2 THEN 'sentiment' WHEN digit < 4 THEN 'power'
+              WHEN digit = 4 THEN 'fraud' ELSE 'topic' END AS lexicon,
+         CASE WHEN digit < 4 THEN digit % 2 WHEN digit = 4 THEN 1 ELSE digit - 5 END AS class_id,
+         word
+  FROM digits)""",
+    f"""
+classes(lexicon, class_id, label) AS (VALUES {CLASSES})""",
+)
+
+
 def _hits(table, key):
     return f"""
 totals AS (SELECT {key}, sum(n) AS total FROM counts GROUP BY {key}),
@@ -215,20 +233,23 @@ def _label(lexicon):
 
 
 FIELD_KEY = "doc_id, field"
-EMAIL_SCORES = (
-    _with(
-        PHRASED,
-        EMAIL_FIELDS,
-        """
+
+
+def _email_scores(*lexicon_tables):
+    return (
+        _with(
+            PHRASED,
+            EMAIL_FIELDS,
+            """
 texts AS (
   SELECT doc_id, 'subject' AS field, subject AS text FROM emails
   UNION ALL SELECT doc_id, 'content', content FROM emails)""",
-        _words("texts", "text", FIELD_KEY),
-        _counts(FIELD_KEY),
-        LEXICON_TABLES,
-        _hits("texts", FIELD_KEY),
-        _best(FIELD_KEY),
-        """
+            _words("texts", "text", FIELD_KEY),
+            _counts(FIELD_KEY),
+            *lexicon_tables,
+            _hits("texts", FIELD_KEY),
+            _best(FIELD_KEY),
+            """
 jsons AS (
   SELECT doc_id, field,
          '{' || string_agg('"' || token || '":' || n, ',' ORDER BY token) || '}' AS json
@@ -244,8 +265,8 @@ wide AS (
          max(CASE WHEN total = 0 THEN 0.0 ELSE CAST(hits AS DOUBLE) / CAST(total AS DOUBLE) END)
            FILTER (WHERE field = 'content' AND lexicon = 'fraud') AS fraud_score
   FROM best GROUP BY doc_id)""",
-    )
-    + """
+        )
+        + """
 SELECT ip, port, date_time, fr, "to",
        coalesce(s.json, '{}') AS subject, coalesce(c.json, '{}') AS content,
        CAST(ss AS INTEGER) AS subject_sentiment, CAST(cs AS INTEGER) AS content_sentiment,
@@ -254,7 +275,12 @@ SELECT ip, port, date_time, fr, "to",
 FROM emails JOIN wide USING (doc_id)
      LEFT JOIN jsons s ON s.doc_id = emails.doc_id AND s.field = 'subject'
      LEFT JOIN jsons c ON c.doc_id = emails.doc_id AND c.field = 'content'"""
-)
+    )
+
+
+EMAIL_SCORES = _email_scores(LEXICON_TABLES)
+EMAIL_TABLE_SCORES = _email_scores(*VOCABULARY_TABLES)
+
 
 # --- edges and counts
 
@@ -372,6 +398,7 @@ FROM docs CROSS JOIN (VALUES (0), (1)) c(class_id)
     "fraud_score": _with(*PHRASED_HITS)
     + f"SELECT doc_id, total, hits, {SHARE} AS fraud_score FROM hits WHERE lexicon = 'fraud'",
     "email_scores": EMAIL_SCORES,
+    "email_scores_by_table": EMAIL_TABLE_SCORES,
     "edges": ORDER_EDGES,
     "message_balance": MESSAGE_BALANCE,
     "message_counts": MESSAGE_COUNTS,

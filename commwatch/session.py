@@ -35,3 +35,13 @@ def shared_dir(spark, purpose):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="commwatch-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df, purpose):
+    """``df`` written as Parquet under the shared scratch folder and read back.
+
+    For what is costly to derive and read more than once.
+    """
+    folder = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

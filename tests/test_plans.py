@@ -61,7 +61,19 @@ def test_counts_aggregate_before_the_shuffle(plans):
         assert text.index("Exchange") < text.index("partial_count"), name
 
 
-def test_large_lexicon_is_salted_and_small_one_broadcast(plans):
-    assert "SortMergeJoin" in plans["topic_hits_joined"]
-    assert "salt" in plans["topic_hits_joined"]
+def test_large_lexicon_is_not_copied_and_small_one_broadcast(spark, sf_dir, plans):
+    """On the lexicon's side of the join there is nothing but its own words, dealt out once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("topic_hits_joined", "email_scores_by_table"):
+            text = plan(CATALOG[name](spark, sf_dir))
+            side = text[text.index("SortMergeJoin") :].split("Generate explode")[-1]
+            assert side.count("Exchange hashpartitioning(light") == 1, name
+            assert "collect_set" in side and "Generate" not in side, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plans["table_lexicon_hits"]
+
+
+def test_emails_by_table_are_parsed_and_counted_once(plans):
+    assert plans["email_scores_by_table"].count("regexp_extract_all") == 2  # subject and content

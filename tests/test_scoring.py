@@ -14,7 +14,14 @@ from commwatch.functions.lexicons import (
 from commwatch.functions.scoring import class_hits, class_label, class_of
 from commwatch.functions.text import token_counts, tokens
 from commwatch.operators.emails import parse_emails, score_emails, score_text
-from commwatch.operators.lexicon_join import hits_by_join, is_small
+from commwatch.operators.email_lexicon_join import score_emails_by_table
+from commwatch.operators.lexicon_join import (
+    class_sets,
+    heavy_words,
+    hits_by_join,
+    is_small,
+    with_classes,
+)
 from commwatch.plans.samples import FRAUD, POWER, SAMPLES, SENTIMENT
 from commwatch.schemas import EMAIL_STREAM
 
@@ -102,11 +109,86 @@ def test_join_equals_look_up(spark, broadcast):
     frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     scored = score_text(frame, "text", (TOPIC,))
     lexicon = lexicon_table(spark, TOPIC).select("class_id", "word")
-    joined = hits_by_join(scored, "id", lexicon, TOPIC.class_ids, broadcast=broadcast, salts=3)
+    joined = hits_by_join(scored, "id", lexicon, TOPIC.class_ids, broadcast=broadcast)
     expected = {r.id: (r.total, r.topic_hits) for r in scored.collect()}
     assert {r.id: (r.total, r.hits) for r in joined.collect()} == expected
 
 
+def test_heavy_words_are_those_of_many_texts(spark):
+    texts = [f"trading rare{i} rare{i + 1000} deal{i % 2}" for i in range(400)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    counted = frame.select("id", token_counts(tokens("text")).alias("counts"))
+    assert heavy_words(counted, "id", tasks=8) == ["deal0", "deal1", "trading"]
+    assert heavy_words(counted, "id", tasks=1, sample_rows=400) == ["trading"]
+    assert heavy_words(counted.where("id < 0"), "id") == []
+
+
+@pytest.mark.parametrize("heavy", [(), ("trading", "o'hare", "nowhere"), None])
+def test_heavy_words_change_no_hits(spark, heavy):
+    texts = [f"trading O'Hare gas{i} deal" * (i % 3) for i in range(50)] + [None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    own = Lexicon("own", {0: ("trading", "o'hare"), 2: ("deal", "trading"), 5: ()}, {})
+    scored = score_text(frame, "text", (own,))
+    lexicon = lexicon_table(spark, own).select("class_id", "word")
+    joined = hits_by_join(scored, "id", lexicon, own.class_ids, broadcast=False, heavy=heavy)
+    expected = {r.id: (r.total, r.own_hits) for r in scored.collect()}
+    assert {r.id: (r.total, r.hits) for r in joined.collect()} == expected
+
+
+def test_a_word_in_every_text_loads_no_task(spark):
+    """Rows of the join by task, for a word that makes up a third of all tokens."""
+    texts = [f"trading a{i}b c{i}d" for i in range(4000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    counted = frame.select("id", token_counts(tokens("text")).alias("counts"))
+    rows = counted.select("id", F.explode("counts").alias("c")).select("id", "c.token", "c.n")
+    words = class_sets(lexicon_table(spark, TOPIC))
+
+    def loads(heavy):
+        met = with_classes(rows, ("id",), words, heavy)
+        found = met.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.count("classes")
+        )
+        return sorted(r.n for r in found.collect())
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        heavy = heavy_words(counted, "id")
+        assert heavy == ["trading"]
+        balanced, skewed = loads(heavy), loads(())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(balanced) == sum(skewed) == 12_000
+    assert balanced[-1] <= 2 * balanced[len(balanced) // 2]
+    assert skewed[-1] > 2 * skewed[len(skewed) // 2]
+
+
+def emails(texts):
+    return [f"{i % 5}|p|20130101000000|f|t|{text}|{text} {i % 3}" for i, text in enumerate(texts)]
+
+
+def test_emails_by_table_as_by_look_up(rows):
+    """Repeated lines, texts without tokens, short lines and words of several classes."""
+    texts = list(SCORES) * 2 + ["gas gas Gas deal", "Deal deal deal problem hero write-off"]
+    lines = emails(texts) + emails(texts)[:7] + ["a|b|c", None]
+    parsed = parse_emails(rows(lines).repartition(3))
+    table = lexicon_table(rows([]).sparkSession, TOPIC, SENTIMENT, POWER, FRAUD)
+    expected = sorted(map(repr, score_emails(parsed, SAMPLES).collect()))
+    for heavy in (None, (), ("deal", "gas")):
+        scored = score_emails_by_table(parsed, table, heavy=heavy)
+        assert scored.schema.names == EMAIL_STREAM.names
+        assert [f.dataType for f in scored.schema] == [f.dataType for f in EMAIL_STREAM]
+        assert sorted(map(repr, scored.collect())) == expected
+
+
+def test_no_emails_by_table(rows):
+    table = lexicon_table(rows([]).sparkSession, TOPIC, SENTIMENT, POWER, FRAUD)
+    assert score_emails_by_table(parse_emails(rows([])), table).count() == 0
+    with pytest.raises(MissingLexicon):
+        score_emails_by_table(parse_emails(rows([])), table.where("lexicon <> 'power'"))
+
+
 def test_tokens_that_grow_in_lower_case(spark):
     """Twenty dotted capitals pass the length test and are forty characters in lower case."""
     token = "\u0130" * 20
