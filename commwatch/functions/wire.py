@@ -19,6 +19,7 @@ def envelope(ip, port, event_time, *payload):
 
 
 def amount_text(amount):
+    """Two decimals; halves of a cent, as the number is written, are rounded away from zero."""
     return F.format_string("%.2f", amount)
 
 

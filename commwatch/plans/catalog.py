@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from commwatch.functions import scoring
 from commwatch.functions.lexicons import TOPIC, lexicon_table
 from commwatch.functions.text import counts_json, token_counts, tokens, total_tokens
-from commwatch.functions.wire import addresses, sanitise
+from commwatch.functions.wire import addresses, amount_text, sanitise
 from commwatch.operators.counts import (
     batch_counts,
     fourth_char_counts,
@@ -15,19 +15,27 @@ from commwatch.operators.counts import (
 )
 from commwatch.operators.edges import edges
 from commwatch.operators.email_lexicon_join import score_emails_by_table
-from commwatch.operators.emails import parse_emails, score_emails, score_text
+from commwatch.operators.emails import encode_emails, parse_emails, score_emails, score_text
 from commwatch.operators.filters import business_days, people, until_year
 from commwatch.operators.lexicon_join import hits_by_join
 from commwatch.operators.transactions import flag_transactions, parse_transactions
 from commwatch.operators.validity import rejected, valid
 from commwatch.plans import inputs
-from commwatch.plans.inputs import table, table_stream
+from commwatch.plans.inputs import table
 from commwatch.plans.samples import FRAUD, POWER, SAMPLES, SENTIMENT
-from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, TRANS_STREAM
+from commwatch.schemas import (
+    EMAIL_CORPUS,
+    EMAIL_GRAPH,
+    EMAIL_STREAM,
+    MESSAGE_COUNTS,
+    REJECTED,
+    TRANS_STREAM,
+)
 from commwatch.session import shared_dir, stored
-from commwatch.sources.lines import stream_lines
 from commwatch.sources.spreading import spread
+from commwatch.sources.tables import read_emails
 from commwatch.streaming import jobs
+from commwatch.streaming.batch_log import BatchLog
 from commwatch.streaming.sinks import FolderSink, latest
 
 LAST_ORDER_YEAR = 1998
@@ -76,6 +84,27 @@ def wire_email(spark, sf_dir):
     return lines.select(F.md5("value").alias("line_md5"))
 
 
+@query("wire_corpus")
+def wire_corpus(spark, sf_dir):
+    """A stored email corpus, read and encoded as if sent at one time."""
+    corpus = inputs.corpus(table(spark, sf_dir, "documents")).select(*EMAIL_CORPUS.fieldNames())
+    folder = shared_dir(spark, "corpus")
+    corpus.write.parquet(folder)
+    sent = F.lit(inputs.START).cast("timestamp_ntz")
+    emails = spread(read_emails(spark, folder)).withColumn("event_time", sent)
+    lines = encode_emails(emails, inputs.IP, inputs.EMAIL_PORT)
+    return lines.select(F.md5("value").alias("line_md5"))
+
+
+@query("wire_amounts")
+def wire_amounts(spark, sf_dir):
+    """Amounts in sixteenths, negative for odd lines: halves of a cent are rounded away from zero."""
+    sign = F.when(F.col("l_linenumber") % 2 == 1, -1.0).otherwise(1.0)
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", amount_text(sign * F.col("l_quantity") / 16).alias("amount")
+    )
+
+
 @query("sanitise_text")
 def sanitise_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
@@ -360,37 +389,67 @@ def batch_count(spark, sf_dir):
     return batch_counts(events).select(_time_text("window_start"), "n")
 
 
-# --- streams
+# --- streams: each over three batches with a restart before each
+
+
+def _events(spark, sf_dir):
+    return inputs.by_number(table(spark, sf_dir, "events"), F.col("event_id"))
+
+
+def _transaction_stream(spark, sf_dir, purpose, encode):
+    folder = shared_dir(spark, purpose)
+    log = BatchLog(f"{folder}/log")
+
+    def start(events):
+        return jobs.start_transactions(
+            encode(events),
+            log.sink("trans_stream"),
+            log.sink("rejected"),
+            f"{folder}/checkpoint",
+            trigger=jobs.ONCE,
+        )
+
+    inputs.fed(spark, folder, _events(spark, sf_dir), start)
+    return log
 
 
 @query("stream_trans")
 def stream_trans(spark, sf_dir):
-    """Text files of transaction lines, as a stream, into the transaction table."""
-    folder = shared_dir(spark, "stream_trans")
-    inputs.trans_lines(table(spark, sf_dir, "events")).write.text(f"{folder}/lines")
-    sink = FolderSink(f"{folder}/trans_stream")
-    jobs.start_transactions(
-        stream_lines(spark, "text", path=f"{folder}/lines"),
-        sink,
-        FolderSink(f"{folder}/rejected"),
-        f"{folder}/checkpoint",
-        trigger=jobs.ONCE,
-    ).awaitTermination()
-    return sink.read(spark, TRANS_STREAM).select(*TRANS_STREAM.fieldNames())
-
-
-def _email_stream(spark, sf_dir, purpose):
+    """Transaction lines, as a stream, into the transaction table."""
+    log = _transaction_stream(spark, sf_dir, "stream_trans", inputs.trans_lines)
+    return log.sink("trans_stream").read(spark, TRANS_STREAM).select(*TRANS_STREAM.fieldNames())
+
+
+@query("stream_batch_rows")
+def stream_batch_rows(spark, sf_dir):
+    """Rows per batch and sink, as counted while they were written and as they are read."""
+    log = _transaction_stream(spark, sf_dir, "stream_batch_rows", inputs.damaged_trans_lines)
+    kept = [
+        log.sink(name).read(spark, schema).select("batch_id", F.lit(name).alias("sink"))
+        for name, schema in (("trans_stream", TRANS_STREAM), ("rejected", REJECTED))
+    ]
+    read = kept[0].unionByName(kept[1]).groupBy("batch_id", "sink").agg(F.count("*").alias("n_read"))
+    return log.rows_of(spark).join(read, ["batch_id", "sink"]).select("batch_id", "sink", "n", "n_read")
+
+
+def _email_stream(spark, sf_dir, purpose, lexicons=SAMPLES):
     folder = shared_dir(spark, purpose)
-    emails, graph = FolderSink(f"{folder}/email_stream"), FolderSink(f"{folder}/email_graph")
-    jobs.start_emails(
-        inputs.scored_email_lines(table_stream(spark, sf_dir, "documents")),
-        emails,
-        graph,
-        FolderSink(f"{folder}/rejected"),
-        f"{folder}/checkpoint",
-        trigger=jobs.ONCE,
-        lexicons=SAMPLES,
-    ).awaitTermination()
+    log = BatchLog(f"{folder}/log")
+    emails, graph = log.sink("email_stream"), log.sink("email_graph")
+
+    def start(documents):
+        return jobs.start_emails(
+            inputs.scored_email_lines(documents),
+            emails,
+            graph,
+            log.sink("rejected"),
+            f"{folder}/checkpoint",
+            trigger=jobs.ONCE,
+            lexicons=lexicons,
+        )
+
+    documents = table(spark, sf_dir, "documents").drop("n_chars")
+    inputs.fed(spark, folder, inputs.by_number(documents, F.col("doc_id")), start)
     return emails, graph
 
 
@@ -400,6 +459,14 @@ def stream_email(spark, sf_dir):
     return emails.read(spark, EMAIL_STREAM).select(*EMAIL_STREAM.fieldNames())
 
 
+@query("stream_email_by_table")
+def stream_email_by_table(spark, sf_dir):
+    """The stream joined with a lexicon table above the inline bound."""
+    words = _vocabulary(spark, sf_dir)
+    emails, _ = _email_stream(spark, sf_dir, "stream_email_by_table", words)
+    return emails.read(spark, EMAIL_STREAM).select(*EMAIL_STREAM.fieldNames())
+
+
 @query("stream_email_graph")
 def stream_email_graph(spark, sf_dir):
     """The second output of the email stream."""
@@ -409,26 +476,57 @@ def stream_email_graph(spark, sf_dir):
 
 @query("stream_edges")
 def stream_edges(spark, sf_dir):
+    """Edges into a sink whose batches are merged into larger files before the last one."""
     folder = shared_dir(spark, "stream_edges")
-    sink = FolderSink(f"{folder}/email_graph")
-    jobs.start_edges(
-        inputs.order_email_lines(table_stream(spark, sf_dir, "lineitem")),
-        sink,
-        f"{folder}/checkpoint",
-        trigger=jobs.ONCE,
-    ).awaitTermination()
+    log = BatchLog(f"{folder}/log")
+    sink = log.sink("email_graph")
+
+    def start(orders):
+        sink.compact(spark, EMAIL_GRAPH)
+        return jobs.start_edges(
+            inputs.order_email_lines(orders),
+            sink,
+            log.sink("rejected"),
+            f"{folder}/checkpoint",
+            trigger=jobs.ONCE,
+        )
+
+    orders = table(spark, sf_dir, "lineitem").select(*inputs.ORDER_COLUMNS)
+    inputs.fed(spark, folder, inputs.by_number(orders, F.col("l_orderkey")), start)
     return sink.read(spark, EMAIL_GRAPH).select(*EMAIL_GRAPH.fieldNames())
 
 
 @query("stream_message_counts")
 def stream_message_count(spark, sf_dir):
+    """Counts under Spark's own watermark, which the events reach in order."""
     folder = shared_dir(spark, "stream_message_count")
     sink = FolderSink(f"{folder}/counts")
-    events = table_stream(spark, sf_dir, "events")
-    schema = message_counts(timed_messages(inputs.message_lines(events))).schema
-    jobs.start_message_counts(
-        inputs.message_lines(events), sink, f"{folder}/checkpoint", trigger=jobs.ONCE
-    ).awaitTermination()
-    return latest(sink.read(spark, schema), "window_start", "message").select(
+
+    def start(events):
+        return jobs.start_message_counts(
+            inputs.message_lines(events), sink, f"{folder}/checkpoint", trigger=jobs.ONCE
+        )
+
+    inputs.fed(spark, folder, inputs.by_time(table(spark, sf_dir, "events"), "ts"), start)
+    return latest(sink.read(spark, MESSAGE_COUNTS), "window_start", "message").select(
         _time_text("window_start"), "message", "n"
     )
+
+
+@query("stream_message_fates")
+def stream_message_fates(spark, sf_dir):
+    """What became of damaged and late message lines, which add up to the events."""
+    folder = shared_dir(spark, "stream_message_fates")
+    log = BatchLog(f"{folder}/log")
+
+    def start(events):
+        return jobs.start_message_ledger(
+            inputs.damaged_message_lines(events), log, f"{folder}/checkpoint", trigger=jobs.ONCE
+        )
+
+    inputs.fed(spark, folder, _events(spark, sf_dir), start)
+    counted = jobs.ledger_counts(spark, log).agg(F.sum("n").alias("n"))
+    lost = log.sink("rejected").read(spark, REJECTED).groupBy("reason").agg(F.count("*").alias("n"))
+    return counted.select(F.lit("counted").alias("fate"), "n").unionByName(
+        lost.select(F.col("reason").alias("fate"), "n")
+    )

@@ -22,9 +22,32 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark, sf_dir, name):
-    path = f"{sf_dir}/{name}.parquet"
-    return stream_table(spark, path, spark.read.parquet(path).schema)
+PARTS = 3
+
+
+def by_number(rows, key):
+    """Rows in as many parts as there are batches, by a whole number."""
+    return [rows.where(F.pmod(key, F.lit(PARTS)) == i) for i in range(PARTS)]
+
+
+def by_time(rows, time):
+    """Rows in as many spans of time of equal length, in order."""
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return [rows] * PARTS
+    ends = [first + (last - first) * (i + 1) / PARTS for i in range(PARTS - 1)]
+    part = sum((F.col(time) >= F.lit(str(end)).cast("timestamp_ntz")).cast("int") for end in ends)
+    return [rows.where(part == i) for i in range(PARTS)]
+
+
+def fed(spark, folder, parts, start):
+    """A stream that is started anew for each part of its input; each is a batch of its own.
+
+    ``start`` gets the stream of the table in the folder and returns the running query.
+    """
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/input")
+        start(stream_table(spark, f"{folder}/input", part.schema)).awaitTermination()
 
 
 def transactions(events):

@@ -333,6 +333,16 @@ WHERE contains(address, '@')""",
     "wire_email": _with(PLAIN, EMAIL_FIELDS)
     + """SELECT md5(concat_ws('|', ip, port, date_time, fr, "to", subject, content)) AS line_md5
 FROM emails""",
+    "wire_corpus": _with(PLAIN, EMAIL_FIELDS)
+    + """SELECT md5(concat_ws('|', ip, port, '20130101000000', fr, "to", subject, content)) AS line_md5
+FROM emails""",
+    # a sixteenth is 625 ten-thousandths
+    "wire_amounts": """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linenumber % 2 = 1 THEN '-' ELSE '' END
+         || (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS amount
+FROM (SELECT l_orderkey, l_linenumber, (CAST(l_quantity AS BIGINT) * 625 + 50) // 100 AS cents
+      FROM lineitem)""",
     "sanitise_text": """
 SELECT doc_id, md5(replace(replace(replace(text, '|', ' '), chr(13), ' '), chr(10), ' '))
          AS text_md5
@@ -410,9 +420,26 @@ WHERE length(field) >= 4 GROUP BY ALL""",
 SELECT strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n
 FROM events GROUP BY ALL""",
     "stream_trans": TRANS_FLAGS,
+    "stream_batch_rows": """
+SELECT event_id % 3 AS batch_id, sink, count(*) AS n, count(*) AS n_read
+FROM (SELECT event_id, CASE WHEN event_id % 10 IN (0, 1, 2, 4, 6) THEN 'rejected'
+                            ELSE 'trans_stream' END AS sink FROM events)
+GROUP BY ALL""",
     "stream_email": EMAIL_SCORES,
+    "stream_email_by_table": EMAIL_TABLE_SCORES,
     "stream_email_graph": EMAIL_EDGES,
     "stream_edges": ORDER_EDGES,
     "stream_message_counts": MESSAGE_COUNTS,
+    "stream_message_fates": """
+WITH told AS (
+  SELECT event_id % 3 AS batch, event_id % 5 AS way, date_trunc('second', ts) AS t FROM events),
+newest AS (SELECT batch, max(t) AS t FROM told WHERE way NOT IN (1, 2) GROUP BY batch),
+marks AS (
+  SELECT b.batch, max(n.t) - INTERVAL 10 MINUTE AS mark
+  FROM newest b LEFT JOIN newest n ON n.batch < b.batch GROUP BY b.batch)
+SELECT CASE way WHEN 1 THEN 'bad time' WHEN 2 THEN 'too few fields'
+                ELSE CASE WHEN t + INTERVAL 1 SECOND <= mark THEN 'late' ELSE 'counted' END END AS fate,
+       count(*) AS n
+FROM told LEFT JOIN marks USING (batch) GROUP BY fate""",
 }
 ORACLE["topic_hits_joined"] = ORACLE["topic_hits"]

@@ -3,9 +3,11 @@
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
 )
 
 
@@ -51,6 +53,12 @@ EMAIL_GRAPH = StructType(_columns(StringType(), "fr", "to", "dt"))
 
 TWEET_STREAM = StructType(_columns(StringType(), "ip", "port", "date_time", "user", "msg"))
 
+MESSAGE_COUNTS = StructType(
+    _columns(TimestampNTZType(), "window_start")
+    + _columns(StringType(), "message")
+    + _columns(LongType(), "n")
+)
+
 REJECTED = StructType(_columns(StringType(), "value", "reason"))
 
 SINK_TABLES = {

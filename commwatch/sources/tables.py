@@ -2,6 +2,7 @@
 
 from commwatch.operators.filters import people
 from commwatch.schemas import EMAIL_CORPUS, LEXICON, PEOPLE
+from commwatch.sources.lines import admission
 
 
 def read_people(spark, path, fmt="text"):
@@ -27,10 +28,12 @@ def read_lexicon(spark, path, fmt="csv", **options):
     return spark.read.schema(LEXICON).format(fmt).options(**options).load(path)
 
 
-def stream_table(spark, path, schema, **options):
+def stream_table(spark, path, schema, files=None, size=None, **options):
     """A Parquet table as a stream, whether ``path`` is one file or a folder of files.
 
     The streaming source refuses a bare file name but takes a pattern that matches just it.
+    ``files`` or ``size`` bound a batch as in ``admission``.
     """
     pattern = f"{path[:-1]}[{path[-1]}]"
+    options = admission("text", files=files, size=size) | options
     return spark.readStream.schema(schema).options(**options).parquet(pattern)

@@ -89,7 +89,7 @@ def test_jobs_and_checkpoints_keep_their_rows_in_a_shared_sink(spark, source, tm
             lines, trans, rejects, f"{tmp_path}/{name}-trans", jobs.ONCE
         ).awaitTermination()
         jobs.start_edges(
-            lines, graph, f"{tmp_path}/{name}-edges", jobs.ONCE, rejects=rejects
+            lines, graph, rejects, f"{tmp_path}/{name}-edges", jobs.ONCE
         ).awaitTermination()
         return [s.read(spark, k).count() for s, k in ((trans, TRANS_STREAM), (graph, EMAIL_GRAPH), (rejects, REJECTED))]
 
@@ -134,8 +134,9 @@ def test_emails_and_edges_from_one_stream(spark, rows, source, tmp_path):
 
 
 def test_edges_only(spark, rows, source, tmp_path):
-    sink = FolderSink(f"{tmp_path}/graph")
-    jobs.start_edges(source(EMAILS), sink, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()
+    sink, rejects = FolderSink(f"{tmp_path}/graph"), FolderSink(f"{tmp_path}/rejected")
+    jobs.start_edges(source(EMAILS), sink, rejects, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()
+    assert [r.value for r in rejects.read(spark, REJECTED).collect()] == ["short"]
     same(sink.read(spark, EMAIL_GRAPH).drop("job", "batch_id"), edges(rows(EMAILS)))
 
 
@@ -153,7 +154,7 @@ def test_failed_batch_stops_the_query(source, tmp_path):
         def write(self, batch, batch_id, job):
             raise RuntimeError("disk full")
 
-    query = jobs.start_edges(source(EMAILS), Broken(), f"{tmp_path}/checkpoint", jobs.ONCE)
+    query = jobs.start_edges(source(EMAILS), Broken(), Broken(), f"{tmp_path}/checkpoint", jobs.ONCE)
     with pytest.raises(Exception, match="disk full"):
         query.awaitTermination()
 
@@ -162,7 +163,7 @@ def test_empty_source_writes_nothing(spark, tmp_path):
     (tmp_path / "lines").mkdir()
     sink = FolderSink(f"{tmp_path}/graph")
     lines = stream_lines(spark, "text", path=f"{tmp_path}/lines")
-    jobs.start_edges(lines, sink, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()
+    jobs.start_edges(lines, sink, sink, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()
     assert sink.read(spark, EMAIL_GRAPH).count() == 0
 
 
