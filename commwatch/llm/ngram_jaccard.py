@@ -1,19 +1,21 @@
 """Documents whose sets of word n-grams are similar, joined by partition and pigeonhole.
 
 Two sets of sizes x and y with a Jaccard similarity of at least t differ in at most
-H = (1 - t) / (1 + t) * (x + y) elements. The universe is cut by hash into more segments than that,
-so the sets agree in whole segments. Three refinements keep the signatures few and selective.
+H = (1 - t) / (1 + t) * (x + y) elements. The universe is cut by hash into S segments, more than that,
+so the sets agree in at least S - H whole segments.
 
-- Size bands. Sets of sizes 2^b to 2^(b+1) - 1 share one segmentation of about a quarter of 2^(b+1)
+- Size bands. Sets of sizes 2^b to 2^(b+1) - 1 share one segmentation of three quarters of 2^b
   segments. A set that can be similar to one of the next band is cut in that band's way too.
-- Segment subsets. A set tells its first H + 1 segments that are not empty. H differences leave one
-  of them whole. Of two similar sets, that with the earlier last told segment finds the whole one,
-  and the other tells it as well.
-- Cost-based allocation. A set with fewer such segments takes the cheapest sum that reaches H + 1:
-  a segment of two or more elements counts twice when its one-deletion neighbours are told as
-  well; where that is too little, the empty segments are told.
-
-Candidates are verified exactly on the texts.
+- Segment subsets by cost. A set tells its H + 1 cheapest segments, those that the fewest sets have,
+  counted over all documents; ties go by their hash and empty segments come last, by their place. In
+  this one order of all segments two similar sets tell one in common: let w be the first segment that
+  they share. Were it not among the first H + 1 of a set, more than H of its segments would come before
+  w, none of them shared, and the sets would share less than S - H.
+- What many unlike documents have in common, such as a licence, is the dearest and is not told, unless
+  it makes up so much of a set that similar ones may differ in all the rest.
+
+Candidates are verified exactly on the texts. Neighbours by one deletion, which let a segment count for
+two differences, are not needed: S is greater than H in every band, so whole segments always suffice.
 """
 
 from functools import partial, reduce
@@ -98,10 +100,12 @@ def bands(sizes):
 def signatures(h, owner, sizes, band, most, percent=PERCENT):
     """Signatures of sets in the segmentation of a band each: signature and set number.
 
-    ``most`` is the largest partner to be found there. Sets are told by ``owner``, which ascends.
+    All filled segments are told, and of a set with too few of them as many empty ones as it lacks.
+    ``most`` is the largest partner to be found there. Sets are told by ``owner``, which ascends. The
+    third result says per set how many of its signatures are more than it has to tell.
     """
-    segments = (1 << band) // 2 + 2
-    differing = (sizes + most) * (100 - percent) // (100 + percent)
+    segments = (3 << band) // 4 + 2
+    needed = (sizes + most) * (100 - percent) // (100 + percent) + 1
     high = (h >> np.uint64(32)).astype(np.int64)
     segment = (high * segments[owner]) >> 32
     order = np.argsort((owner << 33) + segment, kind="stable")
@@ -109,38 +113,32 @@ def signatures(h, owner, sizes, band, most, percent=PERCENT):
     fresh = np.ones(len(h), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])
     begin = np.flatnonzero(fresh)
-    group = np.cumsum(fresh) - 1
-    value = mix(h + np.uint64(11))
-    total = _sums(value, group, len(begin))
-    size = np.diff(np.append(begin, len(h)))
+    total = _sums(mix(h + np.uint64(11)), np.cumsum(fresh) - 1, len(begin))
     who, place = owner[begin], segment[begin]
-    start = np.searchsorted(who, np.arange(len(sizes)))
-    rank = np.arange(len(begin)) - start[who]
     salt = mix((band[who].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64))
-    whole = mix(total + salt)
-    told = rank <= differing[who]
+    parts, owners = [mix(total + salt)], [who]
     filled = np.bincount(who, minlength=len(sizes))
-    lacking = (filled <= differing) & (sizes > 0)
-    # one-deletion neighbours, for sets with too few segments
-    near = lacking[owner] & (size[group] > 1)
-    parts = [whole[told], mix(total[group[near]] - value[near] + salt[group[near]])]
-    owners = [who[told], owner[near]]
-    units = np.bincount(who, np.minimum(size, 2), minlength=len(sizes))
-    empty = np.flatnonzero(lacking & (units <= differing))
+    empty = np.flatnonzero((filled < needed) & (sizes > 0))
     if len(empty):
         count = segments[empty]
         at = np.repeat(empty, count)
         seg = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        filled_at = (who << 33) + place
-        bare = ~np.isin((at << 33) + seg, filled_at)
+        bare = ~np.isin((at << 33) + seg, (who << 33) + place)
+        at, seg = at[bare], seg[bare]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        told = rank < (needed - filled)[at]
         key = (band[at].astype(np.uint64) << np.uint64(40)) + seg.astype(np.uint64)
-        parts.append(mix(mix(key))[bare])
-        owners.append(at[bare])
-    return np.concatenate(parts), np.concatenate(owners)
+        parts.append(mix(mix(key))[told])
+        owners.append(at[told])
+    return np.concatenate(parts), np.concatenate(owners), np.maximum(filled - needed, 0)
 
 
 def _tell(batches, width, percent):
-    """Signatures of all sets; of equal sets in a chunk one tells them."""
+    """Signatures of all sets; of equal sets in a chunk one tells them.
+
+    ``cut`` is twice the number of signatures that a set may leave out, and one more where it is cut
+    in the way of the next band.
+    """
     for batch in batches:
         for chunk in chunks(batch):
             h, owner, sizes = shingle_sets(chunk.column("text"), width)
@@ -155,18 +153,22 @@ def _tell(batches, width, percent):
             band = bands(sizes).astype(np.int64)
             largest = sizes * 100 // percent
             up = largest >= (1 << (band + 1))
-            both = [
-                signatures(h, owner, sizes, band, np.minimum(largest, (1 << (band + 1)) - 1), percent)
-            ]
+            within = np.minimum(largest, (1 << (band + 1)) - 1)
+            sig, own, spare = signatures(h, owner, sizes, band, within, percent)
+            both = [(sig, own, 2 * spare)]
             if up.any():
                 number, mine = np.cumsum(up) - 1, up[owner]
-                s, o = signatures(
+                sig, own, spare = signatures(
                     h[mine], number[owner[mine]], sizes[up], band[up] + 1, largest[up], percent
                 )
-                both.append((s, np.flatnonzero(up)[o]))
-            sig, o = (np.concatenate(x) for x in zip(*both))
+                above = np.zeros(len(sizes), np.int64)
+                above[up] = 2 * spare + 1
+                both.append((sig, np.flatnonzero(up)[own], above))
+            sig, own = (np.concatenate(x) for x in zip(*((s, o) for s, o, _ in both)))
+            cut = np.concatenate([spare[o] for _, o, spare in both])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(sig)), pa.array(nodes[o])], ["sig", "node"]
+                [pa.array(signed(sig)), pa.array(nodes[own]), pa.array(cut.astype(np.int32))],
+                ["sig", "node", "cut"],
             )
 
 
@@ -198,17 +200,6 @@ def _may_link(x, y, percent):
     )
 
 
-def _least_shared(x, y, percent):
-    """Told segments that similar sets have in common, but for a chance below 1e-13.
-
-    Of the H + 1 segments that either set tells at least, H differences spoil each with a chance of
-    at most 1 - 1/e, as there are no fewer segments than differences and places are hashed. Of
-    more than a hundred a share of about a twentieth is left; small sets have to share one.
-    """
-    differing = F.expr(f"({x}.n + {y}.n) * {100 - percent} div {100 + percent}")
-    return F.greatest(F.lit(1), F.floor((differing - 59) / 20)).cast("int")
-
-
 def _sketched(pairs, nodes, percent):
     """Pairs that their sizes and parities allow to be similar."""
     return (
@@ -222,9 +213,11 @@ def _sketched(pairs, nodes, percent):
 def _links(pairs, nodes, docs, width, percent):
     """The pairs whose sets are similar, compared by their texts."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = needed.join(nodes.select("node", "t1"), "node")
-    # the texts of a copy are one row before the shuffle
-    held = docs.groupBy("t1").agg(F.first("text").alias("text"))
+    wanted = stored(needed.join(nodes.select("node", "t1"), "node"), "wanted")
+    # only wanted texts are shuffled, and the texts of a copy are one row before that
+    held = docs.join(wanted.select("t1"), "t1", "left_semi").groupBy("t1").agg(
+        F.first("text").alias("text")
+    )
     texts = stored(held.join(wanted, "t1").select("node", "text"), "texts")
     sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"
@@ -257,8 +250,7 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
        cost of a few comparisons per node and turn, however large their group is.
     3. In the groups that still have several components, nodes outside the commonest one meet the
        others, again if sizes and parities allow it, so that no link between components is lost
-       and no pair inside one is looked at. Pairs of large sets have to meet in several groups
-       (``_least_shared``), as a shared passage brings few.
+       and no pair inside one is looked at.
     """
     rows = df.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -275,10 +267,21 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
     )
     nodes = stored(nodes, "nodes")
     tell = partial(_tell, width=width, percent=percent)
-    told = map_arrow(rows.select("text"), tell, "sig long, node long")
+    told = map_arrow(rows.select("text"), tell, "sig long, node long, cut int")
     group = Window.partitionBy("sig")
-    met = told.withColumn("hub", F.min("node").over(group)).withColumn("top", F.max("node").over(group))
-    groups = stored(met.where("hub <> top").select("sig", "node", "hub"), "groups")
+
+    def shared(frame):
+        ends = frame.withColumns({"hub": F.min("node").over(group), "top": F.max("node").over(group)})
+        return ends.where("hub <> top").drop("top")
+
+    # a set's signatures that no other has are its cheapest: of those that others have, it leaves
+    # out the dearest, as many as it may
+    dearest = Window.partitionBy("node", "cut").orderBy(F.desc("cost"), F.desc("sig"))
+    costed = shared(told.withColumn("cost", F.count(F.lit(1)).over(group)))
+    ranked = costed.withColumn("rank", F.dense_rank().over(dearest))
+    cheap = ranked.where(F.col("rank") > F.shiftright("cut", 1)).select("sig", "node")
+    groups = stored(shared(cheap.distinct()), "groups")
+
     def labelled(frame, labels, column="node", name="c"):
         named = labels.select(F.col("v").alias(column), F.col("c").alias(name))
         return frame.join(named, column, "left").withColumn(name, F.coalesce(name, column))
@@ -335,13 +338,11 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
     ).select(
         F.least("x.node", "y.node").alias("a"),
         F.greatest("x.node", "y.node").alias("b"),
-        _least_shared("x", "y", percent).alias("least"),
     )
-    counted = across.groupBy("a", "b", "least").agg(F.count("*").alias("shared"))
     done = reduce(lambda p, q: p.unionByName(q), tested).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
-    more = counted.where("shared >= least").select("a", "b").join(done, ["a", "b"], "left_anti")
+    more = across.distinct().join(done, ["a", "b"], "left_anti")
     more = stored(more, "pairs")
     if not more.isEmpty():
         labels = test(more)
