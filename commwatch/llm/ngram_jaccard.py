@@ -243,7 +243,7 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
     read. Sets and n-grams are compared by 64-bit hashes.
 
     1. Documents become sets; equal sets are one node from here on.
-    2. Signatures meet in one shuffle. In each group of a signature one node is the hub. A node is
+    2. Signatures meet in one shuffle, and of signatures that the same nodes tell one is kept. In each group of a signature one node is the hub. A node is
        compared with the few hubs that share most signatures with it, if sizes and parities do not
        rule them out. In the next turns only groups with nodes of several components are left, and
        their hubs are drawn from their commonest component. That joins copies of all kinds at a
@@ -280,7 +280,10 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
     costed = shared(told.withColumn("cost", F.count(F.lit(1)).over(group)))
     ranked = costed.withColumn("rank", F.dense_rank().over(dearest))
     cheap = ranked.where(F.col("rank") > F.shiftright("cut", 1)).select("sig", "node")
-    groups = stored(shared(cheap.distinct()), "groups")
+    # groups of the same nodes say the same: one of them is kept
+    prints = {f"p{i}": F.bit_xor(F.xxhash64("node", F.lit(i))).over(group) for i in range(2)}
+    alike = shared(cheap.distinct()).withColumns(prints).groupBy("p0", "p1", "node")
+    groups = stored(alike.agg(F.min("sig").alias("sig"), F.first("hub").alias("hub")), "groups")
 
     def labelled(frame, labels, column="node", name="c"):
         named = labels.select(F.col("v").alias(column), F.col("c").alias(name))
@@ -288,7 +291,7 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
 
     def mixed_groups(frame, labels):
         """Groups with nodes of several components, and the commonest of these."""
-        marked = labelled(frame.select("sig", "node").distinct(), labels)
+        marked = labelled(frame.select("sig", "node"), labels)
         lowest, highest = F.min("c").over(group), F.max("c").over(group)
         common = marked.withColumns({"mixed": lowest < highest, "common": F.mode("c").over(group)})
         return stored(common.where("mixed").drop("mixed"), "mixed")
