@@ -1,23 +1,27 @@
 """Token ids of whole texts by a byte-level BPE vocabulary of the tokenizers library.
 
 The vocabulary's splitter never joins across a single space between two other characters: what
-follows such a space is encoded alike in any text. So each distinct piece is encoded once per
-Python worker and looked up afterwards, which is several times as fast as encoding running text and
-gives the same ids.
+follows such a space is encoded alike in any text. A line break alone, or one of two, between other
+characters is a token of its own, so lines are cut there as well. Each distinct piece is encoded once
+per Python worker and looked up afterwards, which is several times as fast as encoding running text
+and gives the same ids.
 """
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
-# Texts with any of these, or with spaces in a row, are cut by the slower pattern.
+# Texts with any of these, or with spaces or line breaks in a row, are cut by the slower pattern.
 _RARE_SPACE = re.compile(
     "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
-MOST_PIECES = 500_000  # of each of two generations in a worker's memory, about 250 bytes each
+LONGEST_PIECE = 64  # characters of a piece that is kept
+MOST_PIECES = 500_000  # of each of two generations, about 250 bytes each and 600 at most
 
 _ENCODERS = {}
 
@@ -29,10 +33,16 @@ def _byte_marks():
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def _is_word(piece):
+    """Whether a piece is letters alone, which the splitter keeps together."""
+    return piece.isascii() and piece.isalpha() or _LETTERS.fullmatch(piece) is not None
+
+
 class _Pieces(dict):
     """Piece to the bytes of its ids; ``lead`` is the space before every piece but a text's first.
 
     A full dictionary becomes the elder generation, from which pieces in use move to the new one.
+    Longer pieces, such as texts without spaces, are encoded and not kept.
     """
 
     def __init__(self, encoder, lead):
@@ -40,6 +50,8 @@ class _Pieces(dict):
         self.encoder, self.lead, self.elder = encoder, lead, {}
 
     def __missing__(self, piece):
+        if len(piece) > LONGEST_PIECE:
+            return self.encoder.plain(self.lead + piece)
         if len(self) >= MOST_PIECES:
             self.elder = dict(self)
             self.clear()
@@ -50,9 +62,9 @@ class _Pieces(dict):
         return ids
 
     def _encoded(self, piece):
-        if _LETTERS.fullmatch(piece):
+        if _is_word(piece):
             return self.encoder.word(self.lead + piece)
-        if piece[-1:] in (",", ".") and _LETTERS.fullmatch(piece, 0, len(piece) - 1):
+        if piece[-1:] in (",", ".") and _is_word(piece[:-1]):
             return self[piece[:-1]] + self.encoder.marks[piece[-1]]
         return self.encoder.plain(self.lead + piece)
 
@@ -63,28 +75,47 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.kind, self.swapped = "H" if self.dtype.itemsize == 2 else "I", sys.byteorder != "little"
+        self.space = _byte_marks()[32]
         self.stand_in = str.maketrans({chr(b): c for b, c in _byte_marks().items()})
-        self.marks = {c: self.plain(c) for c in ",."}
+        self.marks = {c: self.plain(c) for c in ",.\n"}
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.firsts, self.others = _Pieces(self, ""), _Pieces(self, " ")
 
     def plain(self, text):
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
+
+    def _bytes(self, ids):
+        return np.array(ids, self.dtype).tobytes() if self.swapped else array(self.kind, ids).tobytes()
 
     def word(self, text):
         """Ids of letters, perhaps after a space: the merges alone, without the splitter."""
-        marks = text.encode().decode("latin-1").translate(self.stand_in)
-        ids = [t.id for t in self.library.model.tokenize(marks)]
-        return np.array(ids, self.dtype).tobytes()
+        if text.isascii():
+            marks = text.replace(" ", self.space)
+        else:
+            marks = text.encode().decode("latin-1").translate(self.stand_in)
+        return self._bytes([t.id for t in self.library.model.tokenize(marks)])
 
     def encode(self, text):
         """The ids as little-endian numbers of ``dtype``, in bytes."""
-        if _RARE_SPACE.search(text) or "  " in text or " \n" in text or "\n " in text:
+        if self._awkward(text):
             first, *others = _SAFE_CUT.split(text)
-        else:
-            first, *others = text.split(" ")
+            return self.firsts[first] + b"".join(map(self.others.__getitem__, others))
+        return self.marks["\n"].join(map(self._line, text.split("\n")))
+
+    def _line(self, text):
+        first, *others = text.split(" ")
         return self.firsts[first] + b"".join(map(self.others.__getitem__, others))
 
+    def _awkward(self, text):
+        """Whether white space may meet in a token, or a special string end what comes before it."""
+        return (
+            "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
+            or text.endswith("\n\n")
+            or any(s in text for s in self.special)
+            or _RARE_SPACE.search(text) is not None
+        )
+
 
 def encoder(path):
     """The worker's encoder of a vocabulary file, made once."""

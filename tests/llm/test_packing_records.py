@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from commwatch.llm import encoding
 from commwatch.llm.checksums import crc32c, masked
 from commwatch.llm.packing import pack, pack_documents, step_groups
 from commwatch.llm.records import RecordError, frames, payloads_of, read_some, token_records, write_records
@@ -39,6 +40,30 @@ def test_word_cache_gives_the_ids_of_running_text(encode):
         assert got == encode(text), text
 
 
+def test_lines_are_cut_like_whole_texts(encode, monkeypatch):
+    """Line breaks alone, in pairs, at either end, beside spaces and special strings."""
+    monkeypatch.setattr(encoding, "MOST_PIECES", 20)
+    codec = encoding.Encoder(VOCABULARY)
+    texts = [
+        "a b\n", "b\nc d", "\na", "\n", "\n\n", "\n\na", "b\n\nc d", "b\n\n", "b\n\n\nc", "x\n\n\n\ny",
+        "a\n <|endoftext|>", "a\n\n<|endoftext|>", "a\n\n<|endoftext|>\n\nb", "a<|endoftext|>\nb", "b c\n d",
+        "we'll\n's it's\n\n'd", "é\nß 日本\n\n語", "a\tb\nc", "1\n2\n\n3 4\n,\n.", "\u3000\nx", " \n", "\n ",
+    ]
+    draw = random.Random(3)
+    texts += ["".join(draw.choice("ab \n.1") for _ in range(40)) for _ in range(300)]
+    for text in texts * 2:
+        assert np.frombuffer(codec.encode(text), codec.dtype).tolist() == encode(text), repr(text)
+
+
+def test_long_pieces_do_not_stay_in_memory(encode):
+    codec = encoding.Encoder(VOCABULARY)
+    for k in range(20):
+        text = f"{k} " + chr(0x4E00 + k) * 2000 + f" {k}"
+        assert np.frombuffer(codec.encode(text), codec.dtype).tolist() == encode(text)
+    kept = [*codec.firsts.items(), *codec.others.items()]
+    assert sum(4 * len(piece) + len(ids) for piece, ids in kept) < 10_000
+
+
 def test_packing_places_every_id_once_without_padding():
     draw = random.Random(3)
     lengths = [draw.choice([1, 2, 7, 300, 513, 2047, 2048, 2049, 9000]) for _ in range(800)]
