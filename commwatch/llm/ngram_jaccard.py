@@ -35,6 +35,7 @@ WIDTH = 5
 PERCENT = 80
 TRIES = 3  # hubs that a node is compared with in a turn
 TURNS = 3
+LISTED = 256  # signatures of a node that its rows carry, so that a pair is made in one group only
 SKETCH = 4  # numbers of 64 bits
 SETS = "doc_id long, t1 long, node long, n long, " + ", ".join(f"k{i} long" for i in range(SKETCH))
 
@@ -331,13 +332,20 @@ def similar_components(df, width=WIDTH, percent=PERCENT, with_text_hash=False):
     told_all = stored(
         mixed.join(nodes, "node").select("sig", "node", "c", "common", "n", *sketch), "told"
     )
+    # a pair is made in the first group that has both; nodes of very many groups make it in each
+    lists = told_all.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
+    lists = lists.where(F.size("sigs") <= LISTED)
+    told_all = told_all.join(lists, "node", "left").withColumn(
+        "before", F.coalesce(F.expr("filter(sigs, s -> s < sig)"), F.expr("cast(array() AS array<bigint>)"))
+    )
     x, y = told_all.where("c <> common").alias("x"), told_all.alias("y")
     across = x.join(
         y,
         (F.col("x.sig") == F.col("y.sig"))
         & (F.col("x.c") != F.col("y.c"))
         & ((F.col("y.c") == F.col("y.common")) | (F.col("x.node") < F.col("y.node")))
-        & _may_link("x", "y", percent),
+        & _may_link("x", "y", percent)
+        & ~F.arrays_overlap("x.before", "y.before"),
     ).select(
         F.least("x.node", "y.node").alias("a"),
         F.greatest("x.node", "y.node").alias("b"),
