@@ -1,13 +1,16 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from commwatch.llm import cotraining, secrets, toxicity
+from commwatch.llm.labelled import smallest
 from tests.llm.conftest import SCHEMA, prose
 
 ASSIGN = re.compile(
@@ -109,6 +112,27 @@ def test_every_part_of_a_run_is_judged():
     assert secrets._chances(scan, net, [(2, scan.free(2)[0])]) == [1.0]
 
 
+def test_very_many_candidates_in_one_text():
+    draw = random.Random(2)
+    keys = [f"{draw.getrandbits(128):032x}" for _ in range(60_000)]
+    scan = secrets.Scanned(pa.array([" ".join(f"k{i}Zz={key}" for i, key in enumerate(keys))]))
+    start = time.process_time()
+    free = scan.free(0)
+    assert time.process_time() - start < 5
+    # the names before the keys, joined to them by a sign that a token may hold
+    assert len(scan.spans[0]) == len(free) == 60_000
+
+
+def test_the_smallest_draws(spark):
+    rows = spark.range(5000).select("id", F.xxhash64("id").alias("draw"))
+    alike = spark.range(5000).select("id", F.col("id").alias("draw"))
+    for df in (rows, alike, rows.limit(0)):
+        all_rows = sorted(tuple(r)[::-1] for r in df.collect())
+        for most in (1, 20, 400, 9000):
+            got = [tuple(r)[::-1] for r in smallest(df, "draw", most).collect()]
+            assert got == all_rows[:most]
+
+
 def test_the_threshold_keeps_the_recall_below_one_half():
     draw = np.random.default_rng(4)
     labels = (np.arange(4000) % 10 == 0).astype(np.float32)
