@@ -11,19 +11,24 @@ UNWANTED = ("/", "\\", "--", "~", "#", "_")
 MAX_LENGTH = 30
 
 
+def wanted(stop_words):
+    """SQL condition on a token ``w``: its length, no stop word as written, no unwanted mark."""
+    tests = [f"length(w) BETWEEN 2 AND {MAX_LENGTH}"]
+    if stop_words:
+        tests.append(f"w NOT IN ({text_list(stop_words)})")
+    # plain searches, which cost less than a pattern on every word
+    tests += [f"NOT contains(w, {text_list([mark])})" for mark in UNWANTED]
+    return " AND ".join(tests)
+
+
 def tokens(text, stop_words=ENGLISH):
     """Tokens, in order and as written, of the text in a column, given by its name.
 
     Stop words are compared before lower-casing: ``the`` goes and ``The`` stays. Null text has
     no tokens.
     """
-    tests = [f"length(w) BETWEEN 2 AND {MAX_LENGTH}"]
-    if stop_words:
-        tests.append(f"w NOT IN ({text_list(stop_words)})")
-    # plain searches, which cost less than a pattern on every word
-    tests += [f"NOT contains(w, {text_list([mark])})" for mark in UNWANTED]
     found = f"regexp_extract_all(coalesce(`{text}`, ''), {text_list([TOKEN_PATTERN])}, 0)"
-    return F.expr(f"filter({found}, w -> {' AND '.join(tests)})")
+    return F.expr(f"filter({found}, w -> {wanted(stop_words)})")
 
 
 def token_counts(words, reset=True):

@@ -40,7 +40,7 @@ def parse_emails(lines):
     )
 
 
-def text_scorer(text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
+def text_scorer(text, lexicons, stop_words=ENGLISH, reset=True, prefix="", tokenise=tokens):
     """A transform that scores a text column.
 
     It adds ``<prefix>counts``, ``<prefix>total`` and ``<prefix><lexicon>_hits``: the token counts,
@@ -51,7 +51,7 @@ def text_scorer(text, lexicons, stop_words=ENGLISH, reset=True, prefix=""):
     once, however often the transform is applied.
     """
     counts = f"{prefix}counts"
-    counting = token_counts(tokens(text, stop_words), reset)
+    counting = token_counts(tokenise(text, stop_words), reset)
     known = f"{prefix}known"
     finding = {
         f"{prefix}total": total_tokens(F.col(counts)),
@@ -69,15 +69,16 @@ def score_text(df, text, lexicons, **options):
     return text_scorer(text, lexicons, **options)(df)
 
 
-def email_scorer(lexicons, stop_words=ENGLISH, reset=True):
+def email_scorer(lexicons, stop_words=ENGLISH, reset=True, tokenise=tokens):
     """A transform that gives parsed emails their classes and fraud score.
 
     ``subject`` and ``content`` become the JSON of their token counts. A field without tokens has
-    classes -1 and fraud score 0.0. The fraud score covers the content only.
+    classes -1 and fraud score 0.0. The fraud score covers the content only. ``tokenise`` is
+    ``text.tokens`` or ``sentences.sentence_tokens``.
     """
     three = (lexicons.sentiment, lexicons.power, lexicons.topic)
-    subject = text_scorer("subject", three, stop_words, reset, "subject_")
-    content = text_scorer("content", (*three, lexicons.fraud), stop_words, reset, "content_")
+    subject = text_scorer("subject", three, stop_words, reset, "subject_", tokenise)
+    content = text_scorer("content", (*three, lexicons.fraud), stop_words, reset, "content_", tokenise)
     columns = [
         counts_json(F.col("subject_counts")).alias("subject"),
         counts_json(F.col("content_counts")).alias("content"),

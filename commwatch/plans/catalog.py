@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from commwatch.functions import scoring
 from commwatch.functions.lexicons import TOPIC, lexicon_table
+from commwatch.functions.sentences import sentence_tokens
 from commwatch.functions.text import counts_json, token_counts, tokens, total_tokens
 from commwatch.functions.wire import addresses, amount_text, sanitise
 from commwatch.operators.counts import (
@@ -177,6 +178,10 @@ def _email_lines(spark, sf_dir, encode=inputs.email_lines):
     return encode(spread(table(spark, sf_dir, "documents").drop("n_chars")))
 
 
+def _spoken(spark, sf_dir):
+    return inputs.spoken(_documents(spark, sf_dir))
+
+
 def _count_rows(spark, sf_dir, reset):
     # exploding the expression itself: for a column of an earlier projection Catalyst would infer
     # a filter, push it below that projection and count a second time
@@ -232,6 +237,23 @@ def term_freq_reset(spark, sf_dir):
     return _count_rows(spark, sf_dir, reset=True)
 
 
+@query("doc_sentence_tokens")
+def doc_sentence_tokens(spark, sf_dir):
+    """Tokens by sentences, contractions and quotes."""
+    words = F.posexplode(sentence_tokens("text")).alias("position", "token")
+    return (
+        _spoken(spark, sf_dir)
+        .select("doc_id", words)
+        .select("doc_id", F.col("position").cast("bigint").alias("position"), "token")
+    )
+
+
+@query("sentence_term_freq")
+def sentence_term_freq(spark, sf_dir):
+    counts = F.explode(token_counts(sentence_tokens("text"))).alias("c")
+    return _spoken(spark, sf_dir).select("doc_id", counts).select("doc_id", "c.token", "c.n")
+
+
 @query("freq_json")
 def freq_json(spark, sf_dir):
     counts = token_counts(tokens("text"))

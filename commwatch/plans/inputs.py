@@ -23,6 +23,10 @@ def table(spark, sf_dir, name):
 
 
 PARTS = 3
+SPOKEN = (
+    (" the ", " don't "), (" and ", ' "they\'re" '), (" of ", " cannot, Mr. "), (" in ", " U.S. Army: 3,000 "),
+    (" to ", " (e.g. it's) … "), (" is ", " dogs' “gonna” go... "),
+)
 
 
 def by_number(rows, key):
@@ -131,6 +135,14 @@ def with_phrase(documents):
     return documents.withColumn("text", F.concat_ws(" ", "text", chosen))
 
 
+def spoken(documents):
+    """Documents with contractions, quotes, abbreviations and numbers in place of common words."""
+    text = F.col("text")
+    for word, said in SPOKEN:
+        text = F.replace(text, F.lit(word), F.lit(said))
+    return documents.withColumn("text", text)
+
+
 def corpus(documents):
     """An email per document: the first line is the subject and the rest the content."""
     number = F.col("doc_id")

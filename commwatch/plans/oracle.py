@@ -5,8 +5,11 @@ there.
 """
 
 from commwatch.functions.lexicons import TOPIC
+from commwatch.functions.sentences import PLAIN as PLAIN_QUOTES
+from commwatch.functions.sentences import SPACE, TYPOGRAPHIC, rules
 from commwatch.functions.stopwords import ENGLISH
 from commwatch.functions.text import TOKEN_PATTERN
+from commwatch.plans.inputs import SPOKEN
 from commwatch.plans.phrases import PHRASES
 from commwatch.plans.samples import FRAUD, POWER, SENTIMENT
 
@@ -135,11 +138,15 @@ emails AS (
 # --- tokens and scores
 
 
-def _words(table, text, key):
-    """Tokens in order, from 0, of a text column; ``key`` may be several columns."""
+def _words(table, text, key, found=None):
+    """Tokens in order, from 0, of a text column; ``key`` may be several columns.
+
+    ``found`` is SQL for all tokens, if not those of the token pattern.
+    """
+    found = found or f"regexp_extract_all({text}, {_text(TOKEN_PATTERN)})"
     return rf"""
 lists AS (
-  SELECT {key}, list_filter(regexp_extract_all({text}, '{TOKEN_PATTERN.replace("'", "''")}'),
+  SELECT {key}, list_filter({found},
            lambda w: length(w) > 1 AND length(w) <= 30
              AND NOT regexp_matches(w, '[/\\~#_]|--') AND w NOT IN ({STOP_WORDS})) AS ws
   FROM {table}),
@@ -147,6 +154,23 @@ words AS (
   SELECT {key}, unnest(ws) AS word, unnest(range(len(ws))) AS position FROM lists)"""
 
 
+def _spoken():
+    text = "text"
+    for word, said in SPOKEN:
+        text = f"replace({text}, {_text(word)}, {_text(said)})"
+    return f"docs AS (SELECT doc_id, {text} AS text FROM documents)"
+
+
+def _by_sentence(text):
+    spaced = f"translate({text}, {_text(TYPOGRAPHIC)}, {_text(PLAIN_QUOTES)})"
+    for pattern, replacement in rules():
+        spaced = f"regexp_replace({spaced}, {_text(pattern)}, {_text(replacement)}, 'g')"
+    return f"string_split_regex({spaced}, {_text(SPACE + '+')})"
+
+
+SENTENCES = (_spoken(), _words("docs", "text", "doc_id", _by_sentence("text")))
+
+
 def _counts(key, reset=True):
     if not reset:
         return f"""
@@ -373,6 +397,10 @@ FROM lists LEFT JOIN (SELECT doc_id, sum(n) AS total FROM counts GROUP BY doc_id
     + "SELECT doc_id, token, n FROM counts",
     "term_freq_reset": _with(PLAIN, _words("docs", "text", "doc_id"), _counts("doc_id"))
     + "SELECT doc_id, token, n FROM counts",
+    "doc_sentence_tokens": _with(*SENTENCES)
+    + "SELECT doc_id, position, word AS token FROM words",
+    "sentence_term_freq": _with(*SENTENCES, _counts("doc_id"))
+    + "SELECT doc_id, token, n FROM counts",
     "freq_json": _with(PLAIN, _words("docs", "text", "doc_id"), _counts("doc_id"))
     + """SELECT doc_id, coalesce(json, '{}') AS counts_json
 FROM docs LEFT JOIN (
