@@ -4,6 +4,12 @@ Each view has a logistic classifier of its own. Both start from the labelled doc
 round either names the unlabelled documents that it is most sure of, of both labels in their
 proportion, and the other learns from these too. Then both are calibrated on labelled documents
 that neither has learned from, and a last logistic model weighs the two.
+
+The exchange covers all unlabelled documents, each distinct one once. Spark scores them in every
+round, finds the logits of the surest share among all, and adds up the named ones by cells: equal
+labels, language, source and size. The classifiers, fitted on the driver, see a cell as one row, the
+mean of its documents with the weight of their number. So what a fit reads is bounded by the labelled
+sample and the number of cells, and yet every named document counts.
 """
 
 from dataclasses import dataclass, field
@@ -14,14 +20,17 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from commwatch.llm.arrow_text import chunks, flat, mix, word_hashes, words
-from commwatch.llm.labelled import held_out, logistic, logistic_descent, sigmoid, training_labels
-from commwatch.llm.storage import map_arrow, stored
+from commwatch.llm.labelled import held_out, logistic, logistic_descent, sigmoid, training_rows
+from commwatch.llm.storage import map_arrow, ship_package, stored
 
-LABELLED = 6000  # the bounds of the training sample
-UNLABELLED = 6000
+LABELLED = 6000  # the bound of the labelled sample
 ROUNDS = 5
-NAMED = 0.04  # share of the unlabelled pool that a view names in a round
+NAMED = 0.04  # share of the unlabelled documents left that a view names in a round
 PSEUDO_WEIGHT = 0.5
+CELLS = 256  # of named documents, for each view and label
+SPREAD = 64  # first sums of a cell
+FEWEST = 10  # unlabelled documents that a round needs
+KEYS = 2_000_000  # labelled keys that are broadcast; more are shuffled
 GRAMS = 1024  # hashed character trigrams
 SOURCES, LANGS = 32, 16
 KEPT = 0.5
@@ -104,20 +113,39 @@ def page_view(chunk):
 
 
 def _features(batches):
+    """Both views of each row, and its cell; the first column is carried along."""
     for batch in batches:
         for chunk in chunks(batch):
             a = content_view(chunk.column("text")).astype(np.float16)
             b = page_view(chunk).astype(np.float16)
+            lang, source = b[:, -SOURCES - LANGS : -SOURCES], b[:, -SOURCES:]
+            size = np.frexp(np.diff(flat(chunk.column("text"))[1]))[1]
+            kind = (lang.argmax(1) * SOURCES + source.argmax(1)) * 64 + size
+            cell = mix(kind.astype(np.uint64)) & np.uint64(CELLS - 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    chunk.column("label"),
+                    chunk.column("k"),
+                    pa.array(cell.astype(np.int32)),
                     pa.array([r.tobytes() for r in a], pa.binary()),
                     pa.array([r.tobytes() for r in b], pa.binary()),
                 ],
-                ["label", "a", "b"],
+                ["k", "cell", "a", "b"],
             )
 
 
+FEATURES = "k long, cell int, a binary, b binary"
+
+
+def _views(table):
+    """The features of both views as arrays, of a batch or table with rows."""
+    return [
+        np.frombuffer(b"".join(table.column(c).to_pylist()), np.float16)
+        .reshape(table.num_rows, -1)
+        .astype(np.float32)
+        for c in ("a", "b")
+    ]
+
+
 @dataclass
 class Model:
     views: list = field(default_factory=list)  # of content and page: weights and bias
@@ -133,45 +161,169 @@ class Model:
         return sigmoid(np.clip(self.logits(a, b), -8, 8) @ w + c)
 
 
-def _sure(logit, pool, share, rate):
-    """Places in the pool with the highest and lowest logits, in the labels' proportion."""
-    order = pool[np.argsort(logit[pool], kind="stable")]
-    most = max(1, int(len(pool) * share))
-    high = max(1, round(most * rate))
-    return order[-high:], order[: max(1, most - high)]
+@dataclass
+class Turn:
+    """A round's classifiers, and of each the logits up to and from which it names documents."""
+
+    views: list
+    limits: list
+
+    def logits(self, x):
+        return [v @ w + c for v, (w, c) in zip(x, self.views)]
+
+    def named(self, x):
+        """The label that either view gives each row, -1 where it is not sure."""
+        return [
+            np.where(logit >= high, 1, np.where(logit <= low, 0, -1))
+            for logit, (low, high) in zip(self.logits(x), self.limits)
+        ]
+
+
+def _free(x, turns):
+    """Rows that no view has named."""
+    free = np.ones(len(x[0]), bool)
+    for turn in turns:
+        for named in turn.named(x):
+            free &= named < 0
+    return free
+
+
+def _sums(x, cell, turns, now):
+    """Number and sum of the rows that a view names now, by who learns of them, label and cell."""
+    free = _free(x, turns)
+    for k, named in enumerate(now.named(x)):
+        at = np.flatnonzero(free & (named >= 0))
+        if not len(at):
+            continue
+        key = ((1 - k) * 2 + named[at]) * (int(cell.max()) + 1) + cell[at]
+        at = at[np.argsort(key, kind="stable")]
+        first = np.flatnonzero(np.r_[True, np.diff(np.sort(key)) > 0])
+        totals = np.add.reduceat(x[1 - k][at].astype(float), first, axis=0)
+        for i, n, total in zip(at[first], np.diff(np.r_[first, len(at)]), totals):
+            yield (1 - k, int(named[i]), int(cell[i])), int(n), total
+
+
+def _added(parts):
+    """Parts of ``(key, number, sum)`` added up by key."""
+    found = {}
+    for key, n, total in parts:
+        before = found.get(key, (0, 0.0))
+        found[key] = before[0] + n, before[1] + total
+    return found
+
+
+class Rows:
+    """Unlabelled rows in memory, each a cell of its own."""
+
+    def __init__(self, a, b):
+        self.x, self.cell = [a, b], np.arange(len(a))
+
+    def limits(self, turns, now, low, high):
+        free = _free(self.x, turns)
+        if free.sum() < FEWEST:
+            return None
+        logits = (logit[free] for logit in now.logits(self.x))
+        return [np.quantile(x, [low, high], method="inverted_cdf") for x in logits]
+
+    def told(self, turns, now):
+        return _added(_sums(self.x, self.cell, turns, now))
+
+
+def _free_logits(batches, turns, now):
+    for batch in batches:
+        if batch.num_rows:
+            x = _views(batch)
+            free = _free(x, turns)
+            logits = [pa.array(logit[free].astype(float)) for logit in now.logits(x)]
+            yield pa.RecordBatch.from_arrays(logits, ["a", "b"])
 
 
-def co_train(a, b, y, pool_a, pool_b, rounds=ROUNDS):
-    """A model from labelled rows of both views and a pool of rows without labels."""
+SUMS = "learner int, label int, cell int, n long, total binary"
+
+
+def _sum_rows(found):
+    rows = [(*key, n, np.asarray(total, float).tobytes()) for key, (n, total) in found.items()]
+    kinds = [pa.int32()] * 3 + [pa.int64(), pa.binary()]
+    arrays = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SUMS.split(", ")])
+
+
+def _parts(table):
+    for r in table.select([c.split()[0] for c in SUMS.split(", ")]).to_pylist():
+        yield (r["learner"], r["label"], r["cell"]), r["n"], np.frombuffer(r["total"])
+
+
+def _named_sums(batches, turns, now):
+    """A task's sums: one row per learner, label and cell."""
+    found = {}
+    for batch in batches:
+        if batch.num_rows:
+            cell = batch.column("cell").to_numpy()
+            for key, n, total in _sums(_views(batch), cell, turns, now):
+                before = found.get(key, (0, 0.0))
+                found[key] = before[0] + n, before[1] + total
+    yield _sum_rows(found)
+
+
+def _add_up(table):
+    return pa.Table.from_batches([_sum_rows(_added(_parts(table)))])
+
+
+class Stored:
+    """Unlabelled documents as a stored table of features; Spark scores and adds them up."""
+
+    def __init__(self, table):
+        self.table = table
+
+    def limits(self, turns, now, low, high):
+        run = partial(_free_logits, turns=turns, now=now)
+        logits = map_arrow(self.table.select("a", "b"), run, "a double, b double")
+        found = logits.agg(
+            F.count("*"), *(F.percentile_approx(c, [low, high], 20_000) for c in ("a", "b"))
+        ).first()
+        return None if found[0] < FEWEST else found[1:]
+
+    def told(self, turns, now):
+        run = partial(_named_sums, turns=turns, now=now)
+        ship_package(self.table.sparkSession)
+        sums = map_arrow(self.table.select("cell", "a", "b"), run, SUMS)
+        by = ["learner", "label", "cell"]
+        part = (F.spark_partition_id() % SPREAD).alias("part")
+        first = sums.select("*", part).groupBy(*by, "part").applyInArrow(_add_up, SUMS)
+        return _added(_parts(first.groupBy(*by).applyInArrow(_add_up, SUMS).toArrow()))
+
+
+def exchange(a, b, y, pool, rounds=ROUNDS):
+    """A model from labelled rows of both views and a pool of unlabelled ones.
+
+    What a round tells a view weighs at most as much as its share of the labelled rows would, so
+    that the labels stay heard however large the pool is.
+    """
     apart = np.arange(len(y)) % 4 == 3
-    views, weight = [], np.ones((~apart).sum(), np.float32)
     rate = float(y.mean())
-    given = [[], []]  # what each view was told by the other: places and labels
-    free = np.arange(len(pool_a))
+    low, high = NAMED * (1 - rate), 1 - NAMED * rate
+    given, turns = [[], []], []  # what each view was told by the other: rows, labels, weights
     fit = (logistic_descent, logistic)
     for turn in range(rounds + 1):
         views = []
-        for k, (x, pool) in enumerate(((a, pool_a), (b, pool_b))):
-            at = np.concatenate([p for p, _ in given[k]]) if given[k] else np.zeros(0, int)
-            told = np.concatenate([v for _, v in given[k]]) if given[k] else np.zeros(0)
-            views.append(
-                fit[k](
-                    np.concatenate([x[~apart], pool[at]]).astype(np.float32 if k == 0 else float),
-                    np.concatenate([y[~apart], told]),
-                    np.concatenate([weight, np.full(len(at), PSEUDO_WEIGHT)]),
-                )
-            )
-        if turn == rounds or len(free) < 10:
+        for k, x in enumerate((a, b)):
+            told = [(x[~apart], y[~apart], np.ones((~apart).sum())), *given[k]]
+            rows, answers, weights = (np.concatenate(t) for t in zip(*told))
+            views.append(fit[k](rows.astype(np.float32 if k == 0 else float), answers, weights))
+        now = Turn(views, [])
+        limits = pool.limits(turns, now, low, high) if turn < rounds else None
+        if limits is None:
             break
-        used = []
-        for k, pool in enumerate((pool_a, pool_b)):
-            w, c = views[k]
-            high, low = _sure(pool @ w + c, free, NAMED, rate)
-            given[1 - k].append(
-                (np.concatenate([high, low]), np.concatenate([np.ones(len(high)), np.zeros(len(low))]))
-            )
-            used.append(np.concatenate([high, low]))
-        free = np.setdiff1d(free, np.concatenate(used))
+        # a view that finds all alike is sure of none
+        now.limits = [(p, q) if p < q else (-np.inf, np.inf) for p, q in limits]
+        found = sorted(pool.told(turns, now).items(), key=lambda item: item[0])
+        for k in range(2):
+            mine = [(key[1], n, total / n) for key, (n, total) in found if key[0] == k]
+            if mine:
+                answers, n, means = (np.array(t) for t in zip(*mine))
+                weight = PSEUDO_WEIGHT * min(1.0, max(1.0, NAMED * len(y)) / n.sum())
+                given[k].append((means, answers.astype(float), weight * n))
+        turns.append(now)
     model = Model(views, [(1.0, 0.0)] * 2)
     raw = model.logits(a[apart], b[apart])
     scales = [logistic(raw[:, [k]], y[apart]) for k in range(2)]
@@ -180,35 +332,44 @@ def co_train(a, b, y, pool_a, pool_b, rounds=ROUNDS):
     return model
 
 
-def train(docs, labels, labelled=LABELLED, unlabelled=UNLABELLED):
-    """A model from bounded samples of labelled and unlabelled documents; None if a label lacks.
+def co_train(a, b, y, pool_a, pool_b, rounds=ROUNDS):
+    """A model from labelled and unlabelled rows of both views in memory."""
+    return exchange(a, b, y, Rows(pool_a, pool_b), rounds)
+
+
+COLUMNS = ["text", "lang", "source", "n_chars"]
+
+
+def unlabelled_pool(docs, labels):
+    """Features of all documents whose key has no label, equal documents once.
 
-    Both samples are those with the smallest hashes of their keys, whatever the table's size, so
-    a source or a group of copies counts by its share. Labels of the held-out part are never read.
+    The features, smaller than most texts, are shuffled once, after equal ones of a task have met.
     """
-    columns = ["text", "lang", "source", "n_chars"]
-    docs = docs.select("doc_id", *columns)
-    sample = training_labels(labels, "quality", labelled)
-    known = docs.join(F.broadcast(sample), "doc_id").select("label", *columns)
-    keys = docs.select("doc_id").join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
-    # a key of several rows is drawn once
-    pool = stored(
-        keys.where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled), "pool"
-    )
-    other = docs.join(F.broadcast(pool), "doc_id").select(F.lit(-1).alias("label"), *columns)
-    rows = known.unionByName(other)
-    table = stored(map_arrow(rows, _features, "label int, a binary, b binary"), "features").toArrow()
-    y = table.column("label").to_numpy()
-    a, b = (
-        np.frombuffer(b"".join(table.column(c).to_pylist()), np.float16)
-        .reshape(len(y), -1)
-        .astype(np.float32)
-        for c in ("a", "b")
-    ) if len(y) else (np.zeros((0, 1)), np.zeros((0, 1)))
-    have = y >= 0
-    if len(set(y[have].tolist())) < 2:
+    keys = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    few = keys.limit(KEYS + 1).count() <= KEYS
+    rows = docs.select("doc_id", *COLUMNS).join(F.broadcast(keys) if few else keys, "doc_id", "left_anti")
+    # nulls do not change a hash
+    alike = F.xxhash64(*COLUMNS, *(F.col(c).isNull() for c in COLUMNS))
+    found = map_arrow(rows.select(alike.alias("k"), *COLUMNS), _features, FEATURES)
+    once = found.groupBy("k").agg(*(F.first(c).alias(c) for c in ("cell", "a", "b")))
+    return Stored(stored(once, "features"))
+
+
+def train(docs, labels, labelled=LABELLED):
+    """A model from a bounded sample of labelled documents and all others; None if a label lacks.
+
+    The sample has the rows with the smallest hashes of key and text, whatever the table's size, so
+    a source counts by its share, and equal texts of a key count once. Labels of the held-out part
+    are never read, and its labelled documents are not in the pool.
+    """
+    sample = training_rows(docs, labels, "quality", labelled, COLUMNS).orderBy("draw")
+    rows = sample.select(F.col("label").cast("bigint").alias("k"), *COLUMNS)
+    known = stored(map_arrow(rows, _features, FEATURES), "known").toArrow()
+    y = known.column("k").to_numpy()
+    if len(set(y.tolist())) < 2:
         return None
-    return co_train(a[have], b[have], y[have].astype(float), a[~have], b[~have])
+    a, b = _views(known)
+    return exchange(a, b, y.astype(float), unlabelled_pool(docs, labels))
 
 
 def _score(batches, model):

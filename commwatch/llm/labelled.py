@@ -37,7 +37,27 @@ def training_labels(labels, column, most):
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
     usable = usable.where(~held_out(F.col("doc_id")))
     one = usable.groupBy("doc_id").agg(F.max(F.col(column).cast("int")).alias("label"))
-    return stored(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labels")
+    drawn = stored(one.withColumn("draw", F.xxhash64("doc_id")), "labels")
+    return stored(smallest(drawn, "draw", most).drop("draw"), "labels")
+
+
+def training_rows(docs, labels, column, most, columns):
+    """``label``, ``draw`` and the columns of at most ``most`` labelled documents, ``text`` among them.
+
+    The documents of the labels of ``training_labels``, equal texts of a key once. Keys are bounded
+    before the join; a key may have any number of texts, so the rows are bounded once more after it,
+    by narrow rows, before any text is moved.
+    """
+    keys = training_labels(labels, column, most)
+    key = ["doc_id", "draw"]
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("draw"), *columns)
+    joined = rows.join(F.broadcast(keys), "doc_id")
+    drawn = stored(joined.select(*key).distinct(), "drawn")
+    picked = stored(smallest(drawn, "draw", most), "sample")
+    once = joined.join(F.broadcast(picked), key).groupBy(*key)
+    # one whole row of those that share key and text
+    first = once.agg(F.min(F.struct("label", *columns)).alias("row"))
+    return first.select("draw", "row.*")
 
 
 def sigmoid(x):

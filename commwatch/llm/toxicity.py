@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from commwatch.llm.arrow_text import (
     BASES, alphanumeric, chunks, flat, lower_ascii, signed, span_hashes, words,
 )
-from commwatch.llm.labelled import held_out, logistic, sigmoid, training_labels
+from commwatch.llm.labelled import held_out, logistic, sigmoid, training_rows
 from commwatch.llm.storage import map_arrow, stored
 
 TRAIN_ROWS = 40_000  # labelled texts: the bound of the training sample
@@ -229,8 +229,7 @@ def train(docs, labels, most=TRAIN_ROWS):
     Labels of the held-out part are never read. A table without toxic labels gives a model that
     finds nothing and scores every text alike.
     """
-    sample = training_labels(labels, "toxic", most)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = training_rows(docs, labels, "toxic", most, ["text"])
     # copies of a text are evidence once
     once = texts.groupBy(F.xxhash64("text")).agg(F.max("label").alias("label"), F.first("text").alias("text"))
     texts = stored(once.select("text", "label"), "labelled")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from commwatch.llm import cotraining, secrets, toxicity
-from commwatch.llm.labelled import smallest
+from commwatch.llm.labelled import smallest, training_rows
 from tests.llm.conftest import SCHEMA, prose
 
 ASSIGN = re.compile(
@@ -278,3 +278,78 @@ def test_a_view_learns_from_the_other():
         == (y[rest] == 1)
     )
     assert share(5) > share(0) + 0.01
+
+
+def plain_pool(docs, labels):
+    """Distinct unlabelled documents, as the pool holds them, from rows on the driver."""
+    listed = {r.doc_id for r in labels.collect() if r.doc_id is not None}
+    rows = {tuple(r)[1:] for r in docs.select("doc_id", *cotraining.COLUMNS).collect() if r.doc_id not in listed}
+    table = pa.table({"k": pa.nulls(len(rows), pa.int64())} | {
+        c: pa.array([r[i] for r in rows], pa.int64() if c == "n_chars" else pa.string())
+        for i, c in enumerate(cotraining.COLUMNS)
+    })
+    return pa.Table.from_batches(cotraining._features(table.to_batches()))
+
+
+def test_the_exchange_covers_every_unlabelled_document(spark, odd, none):
+    draw, rows = random.Random(9), []
+    for i in range(1500):
+        source = "rare" if i % 300 == 7 else "abc"[i % 3]
+        text = " ".join(draw.choice("one two three Four FIVE six !! ||".split()) for _ in range(draw.randrange(5, 60)))
+        rows.append((i, text if i % 3 else "a copy in a third of all rows", "en", source, i % 50))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 1500, 10)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    pool, plain = cotraining.unlabelled_pool(docs, labels), plain_pool(docs, labels)
+    assert pool.table.count() == plain.num_rows
+    x = cotraining._views(plain)
+    weights = [np.random.default_rng(k).normal(0, 1, v.shape[1]).astype(np.float32) for k, v in enumerate(x)]
+    weights[1][-cotraining.SOURCES:][x[1][:, -cotraining.SOURCES:].sum(0) < 10] += 99  # of the rare source
+    now = cotraining.Turn([(w, 0.5) for w in weights], [])
+    memory = cotraining.Rows(*x)
+    got, want = pool.limits([], now, 0.1, 0.9), memory.limits([], now, 0.1, 0.9)
+    assert np.allclose(np.array(got), np.array(want), atol=1e-3)
+    now.limits = [(p + 1e-2, q - 1e-2) for p, q in want]
+
+    def totals(found, learner, label):
+        mine = [v for k, v in found.items() if k[:2] == (learner, label)]
+        return sum(n for n, _ in mine), sum(t for _, t in mine)
+
+    for turns in ([], [cotraining.Turn(now.views, [(p - 1, q + 1) for p, q in now.limits])]):
+        found, plainly = pool.told(turns, now), memory.told(turns, now)
+        for learner in range(2):
+            for label in range(2):
+                (n, total), (m, other) = totals(found, learner, label), totals(plainly, learner, label)
+                assert n == m and np.allclose(total, other, atol=1e-3)
+    # the view of the page is sure of the rare source, so the view of the content is told of it
+    assert totals(pool.told([], now), 0, 1)[0] >= plain.num_rows // 10
+    # odd rows, none, and fewer than a round needs
+    assert cotraining.unlabelled_pool(odd, labels).table.count() == plain_pool(odd, labels).num_rows
+    for df in (none, docs.limit(3)):
+        assert cotraining.unlabelled_pool(df, labels.limit(0)).limits([], now, 0.1, 0.9) is None
+
+
+def test_rounds_in_spark_are_those_in_memory(spark, monkeypatch):
+    draw, rows = random.Random(14), []
+    for i in range(700):
+        good = i % 4 > 0
+        words = prose(i, 40, 2000).split()
+        text = " ".join(w.title() if draw.random() < 0.2 else w for w in words) if good else " ! ".join(words)
+        rows.append((i, text, "en", "good" if good else "bad", len(text)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(0, 700, 9)], "doc_id long, quality int, toxic int")
+    model, x = cotraining.train(docs, labels), cotraining._views(plain_pool(docs, docs.limit(0).select("doc_id")))
+    monkeypatch.setattr(cotraining, "unlabelled_pool", lambda d, l: cotraining.Rows(*cotraining._views(plain_pool(d, l))))
+    assert np.corrcoef(model.score(*x), cotraining.train(docs, labels).score(*x))[0, 1] > 0.99
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    # a key on most rows, with copies: each of its texts counts once, and no more than the bound are drawn
+    rows = [(1, f"text {i % 400}") for i in range(900)] + [(i, f"own {i}") for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    usable = {(k, t) for k, t in rows if zlib.crc32(str(k).encode()) % 4 != 2}
+    every = training_rows(docs, labels, "toxic", 5000, ["text"]).collect()
+    assert len(every) == len(usable) and {r.text for r in every} == {t for _, t in usable}
+    fifty = training_rows(docs, labels, "toxic", 50, ["text"]).collect()
+    assert {r.draw for r in fifty} == set(sorted(r.draw for r in every)[:50])
+    assert training_rows(docs.limit(0), labels, "toxic", 50, ["text"]).count() == 0
