@@ -27,20 +27,28 @@ def store_of(folder):
     return FileSystem.from_uri(folder)
 
 
+def write_file(spark, path, data):
+    """Some bytes as a file on any file system that Spark itself can write to."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(context._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+
+
 def ship_package(spark):
     """Give executors this package, once per application, whatever their own Python path holds."""
     package = Path(__file__).resolve().parents[1]
     if spark.sparkContext.applicationId in _SHIPPED or not package.is_dir():
         return
     folder = shared_dir(spark, "code")
-    store, path = store_of(folder)
-    store.create_dir(path, recursive=True)
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, str(file.relative_to(package.parent)))
-    with store.open_output_stream(f"{path}/{package.name}.zip") as out:
-        out.write(packed.getvalue())
+    write_file(spark, f"{folder}/{package.name}.zip", packed.getvalue())
     spark.sparkContext.addPyFile(f"{folder}/{package.name}.zip")
     _SHIPPED.add(spark.sparkContext.applicationId)
 
