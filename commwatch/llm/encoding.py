@@ -125,6 +125,11 @@ def encoder(path):
     return _ENCODERS[path]
 
 
+def forget():
+    """Frees the worker's encoders and the pieces that they keep."""
+    _ENCODERS.clear()
+
+
 def ids_crc32(ids, dtype):
     """Checksum of ids, given as bytes of ``dtype``, in their form of 32 bits each."""
     import zlib

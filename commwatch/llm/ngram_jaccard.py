@@ -37,6 +37,7 @@ TRIES = 3  # hubs that a node is compared with in a turn
 TURNS = 3
 LISTED = 256  # signatures of a node that its rows carry, so that a pair is made in one group only
 SKETCH = 4  # numbers of 64 bits
+SET_BYTES = 1 << 20  # of the texts whose sets are in memory at once
 SETS = "doc_id long, t1 long, node long, n long, " + ", ".join(f"k{i} long" for i in range(SKETCH))
 
 
@@ -75,7 +76,7 @@ def _nodes(h, owner, sizes):
 def _describe(batches, width):
     """Per document its set's number and size, and the parities of its elements by 256 buckets."""
     for batch in batches:
-        for chunk in chunks(batch):
+        for chunk in chunks(batch, most=SET_BYTES):
             h, owner, sizes = shingle_sets(chunk.column("text"), width)
             bits = np.bincount(
                 owner * (64 * SKETCH) + (h & np.uint64(64 * SKETCH - 1)).astype(np.int64),
@@ -141,7 +142,7 @@ def _tell(batches, width, percent):
     in the way of the next band.
     """
     for batch in batches:
-        for chunk in chunks(batch):
+        for chunk in chunks(batch, most=SET_BYTES):
             h, owner, sizes = shingle_sets(chunk.column("text"), width)
             nodes = _nodes(h, owner, sizes)
             keep = np.zeros(len(sizes), bool)
@@ -175,7 +176,7 @@ def _tell(batches, width, percent):
 
 def _verify(batches, width, percent):
     for batch in batches:
-        for chunk in chunks(batch, "ta", "tb"):
+        for chunk in chunks(batch, "ta", "tb", most=SET_BYTES):
             h1, o1, n1 = shingle_sets(chunk.column("ta"), width)
             h2, o2, n2 = shingle_sets(chunk.column("tb"), width)
             h, o = np.concatenate([h1, h2]), np.concatenate([o1, o2])

@@ -177,4 +177,4 @@ def pack_documents(df, vocabulary, end_id=1, tiers=TIERS, block_tokens=BLOCK_TOK
     run = partial(_pack, vocabulary=vocabulary, end_id=end_id, tiers=tuple(tiers),
                   block_tokens=block_tokens, step_tokens=step_tokens)
     rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_arrow(rows, run, PIECES)
+    return map_arrow(rows, run, PIECES, encodes=True)

@@ -131,7 +131,8 @@ def write_records(df, folder, vocabulary, end_id=0):
     )
     dealt = rows.repartitionByRange("doc_id", "h", "m").sortWithinPartitions("doc_id", "h", "m")
     write = partial(_write, folder=folder, vocabulary=vocabulary, end_id=end_id)
-    return stored(map_arrow(dealt.select("doc_id", "text"), write, MANIFEST), "manifest")
+    told = map_arrow(dealt.select("doc_id", "text"), write, MANIFEST, encodes=True)
+    return stored(told, "manifest")
 
 
 def read_index(store, path, name):

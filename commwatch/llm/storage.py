@@ -1,7 +1,9 @@
 """Tables and folders that driver and executors share, and the code that executors need."""
 
 import io
+import sys
 import zipfile
+from functools import partial
 from pathlib import Path
 
 from commwatch.session import shared_dir
@@ -53,7 +55,15 @@ def ship_package(spark):
     _SHIPPED.add(spark.sparkContext.applicationId)
 
 
-def map_arrow(df, function, schema):
-    """``df.mapInArrow`` by a function of this package."""
+def _task(batches, function, encodes):
+    """Runs a function of this package; a reused worker keeps its encoders only for tasks that encode."""
+    kept = sys.modules.get("commwatch.llm.encoding")
+    if kept and not encodes:
+        kept.forget()
+    yield from function(batches)
+
+
+def map_arrow(df, function, schema, encodes=False):
+    """``df.mapInArrow`` by a function of this package; ``encodes`` if it uses ``encoding.encoder``."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(partial(_task, function=function, encodes=encodes), schema)
