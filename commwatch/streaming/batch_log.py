@@ -129,15 +129,19 @@ class LoggedSink:
         return self.log.batches(spark).select(*KEY).join(self._manifests(spark), list(KEY), "left")
 
     def read(self, spark, schema):
-        """The rows of all committed batches, with ``job`` and ``batch_id``."""
+        """The rows of all committed batches, with ``job`` and ``batch_id``.
+
+        The names of the batches go to the rows: dealt out by batch, all rows of one would meet in
+        one task.
+        """
         places = self._places(spark)
         full = StructType([*schema.fields, *KEYS])
         loose = _read(spark, f"{self.path}/loose", full)
         merged = _read(
             spark, f"{self.path}/merged", StructType([*full.fields, StructField(GENERATION, StringType())])
         )
-        alone = loose.join(places.where("generation IS NULL"), list(KEY), "left_semi")
-        held = merged.join(places, [*KEY, GENERATION], "left_semi")
+        alone = loose.join(F.broadcast(places.where("generation IS NULL")), list(KEY), "left_semi")
+        held = merged.join(F.broadcast(places), [*KEY, GENERATION], "left_semi")
         return alone.unionByName(held.drop(GENERATION)).drop(ATTEMPT)
 
     def compact(self, spark, schema):

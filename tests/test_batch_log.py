@@ -1,7 +1,10 @@
 """Batches that count all together, are merged and run again."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from commwatch.functions.lexicons import lexicon_table
 from commwatch.operators.counts import message_counts, timed_messages
@@ -227,3 +230,21 @@ def test_limits_bound_a_batch(spark, feed, log, limits, batches):
     ).awaitTermination()
     assert log.batches(spark).count() == batches
     assert log.sink("graph").read(spark, EMAIL_GRAPH).count() == 30
+
+
+def test_reading_a_sink_deals_out_no_rows(spark, log):
+    """Rows dealt out by their batch would all meet in one task: only names of batches move."""
+    sink = log.sink("emails")
+    for batch_id in range(3):
+        sink.write(spark.range(40).select(F.lit("i").alias("fr")), batch_id, "job", f"a{batch_id}")
+        log.commit(spark, "job", batch_id, f"a{batch_id}", {"emails": 40})
+    schema = StructType([StructField("fr", StringType())])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = sink.read(spark, schema)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        # the rows are joined where they are read
+        assert re.search(r"BroadcastHashJoin [^\n]*LeftSemi[^\n]*\n[ :+-]*FileScan parquet \[fr", plan)
+        assert read.count() == 120
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
