@@ -4,7 +4,10 @@ The lexicons stay a table ``(lexicon, class_id, word)`` from end to end: no word
 or reaches the driver but the few heavy ones that ``lexicon_join`` deals out apart.
 """
 
+from functools import partial
+
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from commwatch.functions import scoring
 from commwatch.functions.lexicons import (
@@ -16,9 +19,10 @@ from commwatch.functions.lexicons import (
 )
 from commwatch.functions.stopwords import ENGLISH
 from commwatch.functions.text import counts_json, token_counts, tokens, total_tokens
-from commwatch.operators.lexicon_join import class_sets, heavy_words, with_classes
+from commwatch.operators.lexicon_join import class_sets, with_classes
 from commwatch.operators.validity import valid
 from commwatch.schemas import EMAIL_STREAM
+from commwatch.session import stored
 
 LABELS = {
     "sentiment": SENTIMENT_LABELS,
@@ -59,63 +63,87 @@ def _counted(parsed, stop_words, reset):
     )
 
 
-def email_heavy_words(parsed, stop_words=ENGLISH, reset=True, **options):
-    """The ``heavy_words`` of both fields of parsed emails."""
-    keyed = parsed.select(F.xxhash64(*parsed.columns).alias("key"), *FIELDS)
-    both = F.concat(*[f"{f}_counts" for f in FIELDS])
-    counted = _counted(keyed, stop_words, reset).select("key", both.alias("counts"))
-    return heavy_words(counted, "key", **options)
+def _dealt(parsed):
+    """Parsed emails by block, with a key of 128 bits of their columns.
+
+    A block is as many emails as a task of a shuffle gets, chosen by the key: an email that is read
+    again finds the same one.
+    """
+    # nulls do not enter a hash: without a stand-in they could change places with a value
+    known = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in parsed.columns]
+    blocks = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = parsed.withColumns(
+        {KEY[0]: F.xxhash64(*known), KEY[1]: F.xxhash64(F.lit(1), *known)}
+    )
+    return keyed.withColumn("block", F.pmod(F.xxhash64(*KEY), F.lit(blocks)))
 
 
-def email_table_scorer(words, stop_words=ENGLISH, reset=True, heavy=()):
+def block_words(parsed, stop_words=ENGLISH):
+    """The different words of each block of parsed emails, in lower case: ``block, token``."""
+    both = F.concat(*[tokens(f, stop_words) for f in FIELDS])
+    each = _dealt(parsed).repartition("block").select("block", F.explode(both).alias("token"))
+    return each.select("block", F.lower("token").alias("token")).distinct()
+
+
+def email_table_scorer(words, stop_words=ENGLISH, reset=True, heavy=(), keep=None):
     """A transform like that of ``email_scorer``, by the words of ``email_class_sets``.
 
-    An email becomes one row per distinct token of either field, and one that carries its columns.
-    The tokens are joined with ``words`` once for all lexicons, and the rows of an email meet again
-    by a hash of 128 bits of its columns, in one aggregation that sums the hits by field. So a text
-    is read and counted once, and no number has to be given to it. Equal emails share their hash;
-    each then has its share of the sums.
+    The emails are dealt out once, in blocks. The different words of a block (``block_words``) are
+    joined with ``words``, and what that finds goes to the block, where it lies beside the tokens of
+    the emails. So no token of a text is dealt out, and a word in every text is one row a block.
+    ``heavy`` words are dealt out apart all the same. ``keep`` holds the words of the blocks, such as
+    by storing them; without it they are derived where they are joined.
+
+    Equal emails share their key; each then has its share of the sums.
     """
     def score(parsed):
+        listed = block_words(parsed, stop_words)
+        known = with_classes(keep(listed) if keep else listed, ("block",), words, heavy)
+        # the places as bits of one number, cheaper to look into for each token than a list
+        places = F.expr("aggregate(classes, 0L, (bits, c) -> bits | shiftleft(1L, c))")
+        known = known.where("classes IS NOT NULL").select("block", "token", places.alias("places"))
         kept = [c for c in parsed.columns if c not in FIELDS]
-        # nulls do not enter a hash: without a stand-in they could change places with a value
-        known = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in parsed.columns]
-        counted = _counted(parsed, stop_words, reset)
+        both = _dealt(parsed).unionByName(known, allowMissingColumns=True).repartition("block")
+        counted = _counted(both, stop_words, reset)
         carried = F.struct(
             *kept,
             *(counts_json(F.col(f"{f}_counts")).alias(f) for f in FIELDS),
             *(total_tokens(F.col(f"{f}_counts")).alias(f"{f}_total") for f in FIELDS),
         ).alias("email")
         described = counted.select(
-            F.xxhash64(*known).alias(KEY[0]),
-            F.xxhash64(F.lit(1), *known).alias(KEY[1]),
-            *(f"{f}_counts" for f in FIELDS),
-            carried,
+            "block", *KEY, "token", "places", *(f"{f}_counts" for f in FIELDS), carried
         )
         shape = described.schema["email"].dataType
 
-        def row(field, token, n, email):
+        def row(field, token, n, email, places):
             return F.struct(
                 F.lit(field).cast("int").alias("field"),
                 token.cast("string").alias("token"),
                 n.cast("bigint").alias("n"),
                 email.cast(shape).alias("email"),
+                places.cast("bigint").alias("places"),
             )
 
         def token_row(field):
-            return lambda c: row(field, c["token"], c["n"], null)
+            return lambda c: row(field, c["token"], c["n"], null, null)
 
         null = F.lit(None)
-        each = [F.array(row(None, null, null, F.col("email")))]
+        each = [F.array(row(None, null, null, F.col("email"), null))]
         each += [F.transform(f"{f}_counts", token_row(i)) for i, f in enumerate(FIELDS)]
-        rows = described.select(*KEY, F.explode(F.concat(*each)).alias("r")).select(*KEY, "r.*")
-        found = with_classes(rows, KEY, words, heavy)
+        word = F.array(row(None, F.col("token"), null, null, F.col("places")))
+        each = F.when(F.col("token").isNull(), F.concat(*each)).otherwise(word)
+        rows = described.select("block", *KEY, F.explode(each).alias("r")).select("block", *KEY, "r.*")
+        # all lies by block already, so neither this nor the sum by email deals anything out again
+        alike = Window.partitionBy("token", "own", "block")
+        rows = rows.withColumn("own", F.when(F.col("token").isNull(), F.col(KEY[0])))
+        found = rows.withColumn("places", F.max("places").over(alike))
+        found = found.where("n IS NOT NULL OR email IS NOT NULL")
 
         def hits(i, place):
-            here = (F.col("field") == i) & F.array_contains("classes", F.lit(place))
+            here = (F.col("field") == i) & (F.col("places").bitwiseAND(1 << place) != 0)
             return F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0).cast("bigint"))
 
-        met = found.groupBy(*KEY).agg(
+        met = found.groupBy(*KEY, "block").agg(
             F.first("email", ignorenulls=True).alias("email"),
             F.count("email").alias("copies"),
             *(
@@ -150,11 +178,11 @@ def _scores():
 def score_emails_by_table(parsed, lexicons, heavy=None, **options):
     """Rows of ``email_stream`` for the valid records, by a lexicon table of any size.
 
-    The table is read several times: store one that is costly to derive. ``heavy`` are the words to
-    deal out apart, ``email_heavy_words`` where none are given.
+    The table is read several times: store one that is costly to derive. ``heavy`` are words to deal
+    out apart; none have to be, as a word is joined once a block. The words of the blocks are stored
+    under the shared scratch folder.
     """
-    usable = valid(parsed)
-    if heavy is None:
-        heavy = email_heavy_words(usable, **options)
-    score = email_table_scorer(email_class_sets(lexicons), heavy=heavy, **options)
-    return score(usable).select(*EMAIL_STREAM.fieldNames())
+    keep = partial(stored, purpose="block-words")
+    words = email_class_sets(lexicons)
+    score = email_table_scorer(words, heavy=heavy or (), keep=keep, **options)
+    return score(valid(parsed)).select(*EMAIL_STREAM.fieldNames())

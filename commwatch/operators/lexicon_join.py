@@ -74,15 +74,17 @@ def with_classes(rows, key, words, heavy=()):
     is_heavy = F.expr(f"token IN ({text_list(sorted(set(heavy)))})") if heavy else F.lit(False)
     light = F.when(~is_heavy, F.col("token"))
     # a second key, as nulls alone would all go to one task
-    own = F.when(F.col("light").isNull(), F.xxhash64(*key)).otherwise(F.xxhash64("light"))
-    spread = rows.withColumn("light", light).withColumn("spread", own)
-    joined = spread.join(words.withColumnRenamed("token", "light"), ["light", "spread"], "left")
+    own = F.when(F.col("sought").isNull(), F.xxhash64(*key)).otherwise(F.xxhash64("sought"))
+    spread = rows.withColumn("sought", light).withColumn("dealt", own)
+    listed = words.withColumnRenamed("token", "light")
+    met = (F.col("sought") == F.col("light")) & (F.col("dealt") == F.col("spread"))
+    joined = spread.join(listed, met, "left")
     if heavy:
         few = words.where(is_heavy).select("token", F.col("classes").alias("heavy_classes"))
         joined = joined.join(F.broadcast(few), "token", "left").withColumn(
             "classes", F.coalesce("heavy_classes", "classes")
         )
-    return joined.drop("light", "spread", "heavy_classes")
+    return joined.drop("sought", "dealt", "light", "spread", "heavy_classes")
 
 
 def class_sums(class_ids, n="n", classes="classes"):

@@ -14,7 +14,7 @@ from commwatch.functions.lexicons import (
 from commwatch.functions.scoring import class_hits, class_label, class_of
 from commwatch.functions.text import token_counts, tokens
 from commwatch.operators.emails import parse_emails, score_emails, score_text
-from commwatch.operators.email_lexicon_join import score_emails_by_table
+from commwatch.operators.email_lexicon_join import block_words, score_emails_by_table
 from commwatch.operators.lexicon_join import (
     class_sets,
     heavy_words,
@@ -205,3 +205,21 @@ def test_tokens_that_grow_in_lower_case(spark):
 def test_empty_lexicon(rows):
     frame = score_text(rows(["gas"], "text"), "text", (Lexicon("none", {0: (), 1: ()}, {}),))
     assert frame.select("none_hits").collect()[0][0] == [0, 0]
+
+
+def test_emails_are_dealt_out_once_and_their_tokens_never(rows):
+    """Texts are dealt out by block; above that nothing is, so no token and no sum of an email."""
+    parsed = parse_emails(rows(emails(list(SCORES))))
+    table = lexicon_table(rows([]).sparkSession, TOPIC, SENTIMENT, POWER, FRAUD)
+    scored = score_emails_by_table(parsed, table)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning(block", 1)
+    assert "Exchange" not in above and "Window" in above and "Aggregate" in above
+    assert "regexp_extract_all" in above and "regexp_extract_all" not in below
+
+
+def test_words_of_blocks(rows):
+    """Each word of either field once a block, in lower case."""
+    parsed = parse_emails(rows(emails(["Gas gas deal", "gas Zebra"]) * 3))
+    found = block_words(parsed.select("ip", "subject", "content")).collect()
+    assert len(found) == len(set(found)) and {r.token for r in found} == {"gas", "deal", "zebra"}
