@@ -1,7 +1,12 @@
+import random
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from commwatch.functions.lexicons import TOPIC
-from commwatch.functions.sentences import sentence_tokens
+from commwatch.functions.sentences import PLAIN, SPACE, TYPOGRAPHIC, rules, sentence_tokens
+from commwatch.functions.text import wanted
 from commwatch.operators.emails import score_text
 
 CASES = [
@@ -45,3 +50,20 @@ def test_scores_by_sentence_tokens(spark):
 def test_nothing_leaves_the_jvm(spark):
     plan = spark.range(1).selectExpr("'x' AS text").select(sentence_tokens("text"))
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_a_rule_is_tried_only_where_its_mark_is(spark):
+    """The tokens are those of the whole chain, and a text without marks is not searched by it."""
+    draw = random.Random(5)
+    parts = ["CANNOT", "cannot", "Gonna", "d'ye", "'Tis", "'TWAS", "lemme", "don't", "DON'T", "we'll", "U.S.",
+             "Mr.", "e.g.", "...", "3,000", "a:b", '"hi"', "“so”", "(x)", "end.", "\x01", "ſ", "\u0130", "İt's", "\n", "dogs'"]
+    texts = [draw.choice(["", " "]).join(draw.choice(parts) + draw.choice(["", " "]) for _ in range(12)) for _ in range(300)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = F.translate("text", TYPOGRAPHIC, PLAIN)
+    for pattern, replacement in rules():
+        plain = F.regexp_replace(plain, F.lit(pattern), F.lit(re.sub(r"\\(\d)", r"$\1", replacement)))
+    wanted_words = frame.select(F.split(plain, SPACE + "+").alias("w")).withColumn("w", F.expr(f"filter(w, w -> {wanted(())})"))
+    got = frame.select(sentence_tokens("text", ()).alias("w"))
+    assert got.collect() == wanted_words.collect()
+    plan = got._jdf.queryExecution().toString()
+    assert plan.lower().count("contains(lower(") >= 19
