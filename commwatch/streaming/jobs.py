@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from commwatch.functions.parsing import utc_instant, utc_wall_clock
 from commwatch.operators.counts import message_counts, parse_messages, timed_messages
 from commwatch.operators.edges import edges_of, rejected_edges
-from commwatch.operators.email_lexicon_join import email_class_sets, email_table_scorer
+from commwatch.operators.email_lexicon_join import (
+    email_class_sets,
+    email_heavy_words,
+    email_table_scorer,
+)
 from commwatch.operators.emails import email_scorer, parse_emails
 from commwatch.operators.lexicon_join import kept_words
 from commwatch.operators.transactions import flag_transactions, parse_transactions
@@ -84,9 +88,18 @@ def _scored_by_table(lexicons, **options):
     """A transform that scores a batch of valid emails by a lexicon table.
 
     The words are cached as the join wants them, for as long as the session lasts, so that a batch
-    shuffles no lexicon.
+    shuffles no lexicon. Which words are heavy is counted on the first batch with emails and kept:
+    it decides how rows are dealt out, not what they score.
     """
-    return email_table_scorer(kept_words(email_class_sets(lexicons)), **options)
+    words = kept_words(email_class_sets(lexicons))
+    heavy = []
+
+    def score(emails):
+        if not heavy and not emails.isEmpty():
+            heavy.append(email_heavy_words(emails, **options))
+        return email_table_scorer(words, heavy=heavy[0] if heavy else (), **options)(emails)
+
+    return score
 
 
 def start_emails(
