@@ -98,6 +98,41 @@ def test_a_kind_of_key_without_base_pattern_is_found_however_common(spark):
     assert sum(k < 100 for k in found) >= 57 and sum(k >= 100 for k in found) <= 3
 
 
+def test_every_window_is_fitted_or_calibrates(spark, monkeypatch):
+    draw = random.Random(8)
+    rows = [
+        (i, f"{prose(i, 12, 3000)} {['key ' + f'{draw.getrandbits(128):032x}', 'page-2024/index.html'][i % 9 > 0]} {base62(draw, 9)}")
+        for i in range(8000)
+    ]
+    kept, told = {}, []
+
+    def keep(df, purpose, stored=secrets.stored):
+        kept[purpose] = stored(df, purpose)
+        return kept[purpose]
+
+    def counts(self, x, low, labels, n, calibrate=secrets.Network.calibrate_counts):
+        told.append(n.sum())
+        return calibrate(self, x, low, labels, n)
+
+    monkeypatch.setattr(secrets, "stored", keep)
+    monkeypatch.setattr(secrets.Network, "calibrate_counts", counts, raising=False)
+    network = secrets.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows])], ["text"])
+    every = {x for part in secrets._label([texts]) for x in zip(*(part.column(c).to_pylist() for c in ("label", "draw")))}
+    assert sum(label == 0 for label, _ in every) > 6000  # twice what the sample once took
+    apart = {x for x in every if x[1] % 4 == 3}
+    blocks = [[(r.label, r.draw) for r in b.rows] for b in kept["blocks"].collect()]
+    assert len(blocks) > 1 and {x for b in blocks for x in b} == every - apart
+    assert all({label for label, _ in b} == {0, 1} for b in blocks)
+    assert sum(label == 0 for b in blocks for label, _ in b) == sum(label == 0 for label, _ in every - apart)
+    assert told == [2 * len(apart)]  # with their surroundings and without
+    new = [(i, f"{prose(i, 8)} id {base62(draw, 32)} then") for i in range(60)]
+    new += [(100 + i, f"{prose(i, 8)} see page-2023/other.html then") for i in range(60)]
+    new = spark.createDataFrame(new, "doc_id long, text string")
+    found = {r.doc_id for r in secrets.scan_secrets(new, network).collect() if "model" in r.spans}
+    assert sum(k < 100 for k in found) >= 57 and sum(k >= 100 for k in found) <= 3
+
+
 def test_every_part_of_a_run_is_judged():
     # a run without a digit, what a base span leaves, and the end of a long run
     texts = ["x abcdefghijklmnopqrstuv y", "Zq8TrX" + "0123456789abcdef" + "w9Lk2P", "dir/" * 40 + "Zq8TrXw9Lk2P"]
