@@ -23,7 +23,7 @@ from commwatch.operators.lexicon_join import kept_words
 from commwatch.operators.transactions import flag_transactions, parse_transactions
 from commwatch.operators.validity import rejected, valid
 from commwatch.schemas import EMAIL_STREAM, MESSAGE_COUNTS
-from commwatch.sources.spreading import spread
+from commwatch.sources.spreading import deal, spread
 from commwatch.streaming.batch_log import log_of
 from commwatch.streaming.sinks import job_of
 
@@ -60,11 +60,11 @@ def _write_outputs(prepared, outputs, batch_id, job, newest=None):
     log.commit(prepared.sparkSession, job, batch_id, attempt, rows, newest)
 
 
-def _write_each(prepare, outputs):
+def _write_each(prepare, outputs, spread=spread):
     """A batch function that prepares its input once and writes several results of it.
 
-    ``outputs`` are pairs of a transform and a sink. Sinks of one log show a batch all together or
-    not at all; sinks without a log skip a batch without rows.
+    ``outputs`` are pairs of a transform and a sink, and ``spread`` deals the input out. Sinks of one
+    log show a batch all together or not at all; sinks without a log skip a batch without rows.
     """
     log_of([sink for _, sink in outputs])
 
@@ -109,7 +109,8 @@ def start_emails(
 
     ``lexicons`` are ``Lexicons``, which score within the row, or a table ``(lexicon, class_id,
     word)`` of any size, which is joined. A batch is parsed and scored once; each output is then a
-    projection of the persisted result. The raw text is kept for malformed lines alone.
+    projection of the persisted result. The raw text is kept for malformed lines alone. Large batches
+    that are scored within the row are dealt out evenly, as scoring is nearly all of the work.
     """
     by_table = isinstance(lexicons, DataFrame)
     score = (_scored_by_table if by_table else email_scorer)(lexicons, **options)
@@ -125,7 +126,8 @@ def start_emails(
         return scored.select(*EMAIL_STREAM.fieldNames())
 
     outputs = [(emails, email_sink), (edges_of, graph_sink), (rejected, rejects)]
-    return _start(lines, _write_each(prepare, outputs), checkpoint, trigger)
+    write = _write_each(prepare, outputs, spread if by_table else deal)
+    return _start(lines, write, checkpoint, trigger)
 
 
 def start_edges(lines, graph_sink, rejects, checkpoint, trigger=None):

@@ -1,9 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
 from commwatch.functions.lexicons import TOPIC, Lexicon, lexicon_table
 from commwatch.session import shared_dir
 from commwatch.sources.lines import read_lines, stream_lines
-from commwatch.sources.spreading import spread
+from commwatch.sources.spreading import deal, spread
 from commwatch.sources.tables import read_emails, read_lexicon, read_people
 
 
@@ -52,6 +53,18 @@ def test_spread(spark):
     assert spread(many) is many
 
 
+def test_deal_leaves_no_second_wave_of_a_few_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    dealt = deal(spark.range(0, 100 * cores, numPartitions=cores + 1))
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 * cores and max(r["count"] for r in sizes) <= 2 * 25
+    assert sorted(r.id for r in dealt.collect()) == list(range(100 * cores))
+    many = spark.range(100, numPartitions=4 * cores)
+    assert deal(many) is many
+    few = spark.range(10, numPartitions=1)
+    assert sorted(r.id for r in deal(few).collect()) == list(range(10))
+
+
 def test_shared_dir_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark, "x"), shared_dir(spark, "x")

@@ -1,14 +1,16 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from commwatch.operators.counts import message_counts, timed_messages
 from commwatch.operators.edges import edges
 from commwatch.operators.emails import parse_emails, score_emails
 from commwatch.operators.transactions import flag_transactions, parse_transactions
 from commwatch.plans.samples import SAMPLES
-from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, REJECTED, SINK_TABLES, TRANS_STREAM
+from commwatch.schemas import EMAIL_GRAPH, EMAIL_STREAM, LINES, REJECTED, SINK_TABLES, TRANS_STREAM
 from commwatch.sources.lines import stream_lines
+from commwatch.sources.tables import stream_table
 from commwatch.streaming import jobs
 from commwatch.streaming.sinks import FolderSink, TableSink, latest, reset_tables
 
@@ -133,6 +135,24 @@ def test_emails_and_edges_from_one_stream(spark, rows, source, tmp_path):
     assert graph.read(spark).count() == 41 and rejects.read(spark).count() == 2
 
 
+def test_a_batch_of_more_tasks_than_cores_is_dealt_evenly(spark, rows, tmp_path, request):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)  # less than opening a file: one a task
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.files.maxPartitionBytes"))
+    cores = spark.sparkContext.defaultParallelism
+    lines = [f"ip|p|20130101{i:06d}|f{i}|b{i}@example.com|Gas deal|fraud {i}" for i in range(640)]
+    rows(lines).repartition(cores + 1).write.parquet(f"{tmp_path}/lines")
+    emails, graph, rejects = (FolderSink(f"{tmp_path}/{name}") for name in ("emails", "graph", "rejected"))
+    jobs.start_emails(
+        stream_table(spark, f"{tmp_path}/lines", LINES), emails, graph, rejects, f"{tmp_path}/checkpoint",
+        jobs.ONCE, lexicons=SAMPLES,
+    ).awaitTermination()
+    written = emails.read(spark, EMAIL_STREAM)
+    same(written.select(*EMAIL_STREAM.names), score_emails(parse_emails(rows(lines)), SAMPLES))
+    same(graph.read(spark, EMAIL_GRAPH).drop("job", "batch_id"), edges(rows(lines)))
+    per_task = written.groupBy(F.input_file_name()).count().collect()
+    assert len(per_task) == 4 * cores and max(r["count"] for r in per_task) <= 2 * 640 / (4 * cores)
+
+
 def test_edges_only(spark, rows, source, tmp_path):
     sink, rejects = FolderSink(f"{tmp_path}/graph"), FolderSink(f"{tmp_path}/rejected")
     jobs.start_edges(source(EMAILS), sink, rejects, f"{tmp_path}/checkpoint", jobs.ONCE).awaitTermination()

@@ -64,6 +64,18 @@ def test_tokens_as_written(rows):
     ]
 
 
+def test_marks_anywhere_drop_the_whole_token(rows):
+    text = "ab-/cd ef.~gh ij/ /kl mn'#op qr_st-uv ab.cd-ef gas. 'oil' x1-y2 wx-(yz"
+    frame = rows([text], "text").select(tokens("text").alias("t"))
+    assert frame.collect()[0].t == ["ab.cd-ef", "gas", "oil", "x1-y2", "wx", "yz"]
+
+
+def test_a_long_chain_of_word_parts_takes_no_stack(rows):
+    chain = "ab." * 100_000 + "ab"
+    frame = rows([f"gas {chain} oil {chain}/x deal"], "text").select(tokens("text").alias("t"))
+    assert frame.collect()[0].t == ["gas", "oil", "deal"]
+
+
 def test_stop_words_are_those_of_spark(spark):
     assert set(ENGLISH) == set(StopWordsRemover.loadDefaultStopWords("english"))
     assert set(BASE) < set(ENGLISH)
